@@ -98,7 +98,8 @@ def permutation_part(
         .select("_h", row_id)
     )
     key = F.struct(hash_key(row_id, seed), F.col(row_id))
-    passed = [(key >= F.struct(F.lit(h), F.lit(i))).cast("int") for h, i in at_cuts.collect()]
+    kind = df.schema[row_id].dataType
+    passed = [(key >= F.struct(F.lit(h), F.lit(i).cast(kind))).cast("int") for h, i in at_cuts.collect()]
     return df.withColumn(out, reduce(add, passed, F.lit(0)))
 
 
