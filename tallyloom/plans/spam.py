@@ -307,6 +307,7 @@ def fold_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = folded_mail(spark, sf_dir)
     counted = nb.document_tokens(docs, "doc_id", T.mail_features(F.col("sender"), F.col("body")), ["label", "fold"])
     tokens = materialize(counted, "fold-tokens")
+    docs = materialize(docs.select("doc_id", "label", "fold"), "folds")
     fold = F.col("fold")
     runs = [nb.Variant(str(i), sampling.in_training(fold, i), F.coalesce(fold == i, F.lit(False))) for i in range(FOLDS)]
     return report(scored(docs, tokens, runs))
@@ -329,6 +330,7 @@ def nb_rate_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = nb.document_tokens(
         docs, "doc_id", T.mail_features(F.col("sender"), F.col("body")), ["label", "is_test", "part"]
     )
+    docs = materialize(docs.select("doc_id", "label", "is_test", "part"), "sampled")
     runs = [
         nb.Variant(str(rate), ~F.col("is_test") & (F.col("part") <= i), F.col("is_test")) for i, rate in enumerate(RATES)
     ]
