@@ -10,6 +10,7 @@ MAIL_TOKEN = r"[A-Za-z0-9]+|[^A-Za-z0-9 \t\n\r\f\x0B]"
 WORD_TOKEN = r"[\p{L}\p{N}_]{2,}"
 NON_ASCII = r"[^\x00-\x7F]"
 SUMMARY_SEPARATOR = "[SOS]"
+SEQUENCE_TOKEN = r"\[SOS\]|[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\r\f\x0B]"
 
 SENDER_MODES = ("domain", "full", "none")
 
@@ -45,6 +46,11 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_TOKEN), F.lit(0))
 
 
+def sequence_tokens(text: Column) -> Column:
+    """Words, single marks, and the summary separator in one piece."""
+    return F.regexp_extract_all(text, F.lit(SEQUENCE_TOKEN), F.lit(0))
+
+
 def review_text(summary: Column, body: Column, separator: str = SUMMARY_SEPARATOR) -> Column:
     return F.concat(summary, F.lit(separator), body)
 

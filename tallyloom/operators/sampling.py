@@ -73,7 +73,8 @@ def bootstrap(df: DataFrame, row_id: str, ratio: float, models: int, seed: int)
     ranked = shuffled_rank(df.select(row_id), row_id, seed, "_rk", "_n")
     rounds = max(1, math.ceil(ratio))
     draws = (
-        ranked.withColumn("_draw", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))) * F.col("_n") + F.col("_rk"))
+        ranked.withColumn("_round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+        .withColumn("_draw", F.col("_round") * F.col("_n") + F.col("_rk"))
         .where(F.col("_draw") < _share(F.col("_n"), ratio))
         .select("_draw", "_n", F.explode(F.sequence(F.lit(0), F.lit(models - 1))).alias("model_id"))
         .withColumn("_rk", hash_number("model_id", "_draw", seed) % F.col("_n"))
@@ -99,17 +100,17 @@ def weighted_draw(df: DataFrame, row_id: str, weight: str, ratio: float, seed: i
     ranked = shuffled_rank(df.select(row_id, weight), row_id, seed, "_rk", "_n").withColumn(
         "_units", F.floor(F.col(weight) * F.col("_n") * F.lit(float(WEIGHT_UNITS)) + F.lit(0.5)).cast("bigint")
     )
-    placed = shuffled_prefix_sum(ranked, row_id, "_units", seed, "_lo", "_all")
+    placed = shuffled_prefix_sum(ranked, row_id, "_units", seed, "_lo", "_whole")
     starts = placed.where(F.col("_units") > 0).select(
-        F.col("_lo").alias("_at"), F.lit(0).alias("_kind"), F.col(row_id), F.col("_all")
+        F.col("_lo").alias("_at"), F.lit(0).alias("_kind"), F.col(row_id), F.col("_whole")
     )
     draws = placed.where(F.col("_rk") < _share(F.col("_n"), ratio)).select(
-        (hash_number(F.lit(salt), "_rk", seed) % F.col("_all")).alias("_at"),
+        (hash_number(F.lit(salt), "_rk", seed) % F.col("_whole")).alias("_at"),
         F.lit(1).alias("_kind"),
         F.lit(None).cast(df.schema[row_id].dataType).alias(row_id),
-        F.col("_all"),
+        F.col("_whole"),
     )
-    width = F.greatest(F.lit(1), F.ceil(F.col("_all") / F.lit(CELLS)))
+    width = F.greatest(F.lit(1), F.ceil(F.col("_whole") / F.lit(CELLS)))
     axis = starts.unionByName(draws).withColumn("_cell", F.floor(F.col("_at") / width))
     last_in_cell = Window.partitionBy("_cell").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
