@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.regressors import predictions
-from tallyloom.operators.sampling import bootstrap, weighted_draw
+from tallyloom.operators.sampling import bootstrap, drawing_order, weighted_draw
 from tallyloom.session import materialize
 
 
@@ -55,7 +55,7 @@ def reweighted(weights: DataFrame, sample: DataFrame, row_id: str, label: str, b
     """Weights after a round: drawn rows are multiplied once by ``beta ** (1 - loss)``; not yet scaled."""
     loss = F.abs(F.col("pred") - F.col(label)) / F.lit(top)
     factor = sample.select(row_id, F.pow(F.lit(beta), 1 - loss).alias("_f"))
-    return weights.join(factor, row_id, "left").select(row_id, (F.col("w") * F.coalesce("_f", F.lit(1.0))).alias("w"))
+    return weights.join(factor, row_id, "left").withColumn("w", F.col("w") * F.coalesce("_f", F.lit(1.0))).drop("_f")
 
 
 def adaboost(train: DataFrame, row_id: str, label: str, base, n: int, ratio: float, seed: int) -> Boosted:
@@ -65,13 +65,13 @@ def adaboost(train: DataFrame, row_id: str, label: str, base, n: int, ratio: flo
     when it is the very first, the model is kept with vote 1. The weight table is
     written to shared storage after each round.
     """
-    rows = train.count()
-    weights = train.select(row_id, F.lit(1.0 / rows).alias("w"))
+    order = materialize(drawing_order(train.select(row_id), row_id, seed), "drawing-order")
+    weights = order.withColumn("w", F.lit(1.0) / F.col("_n"))
     kept = Boosted([], [], [], weights)
     for i in range(n):
         draws = materialize(weighted_draw(weights, row_id, "w", ratio, seed, i), "draws")
         model = base.fit(train, draws.withColumn("model_id", F.lit(0)), row_id, label, 1)[0]
-        sample = model.predict(train.join(draws, row_id), "pred").join(weights, row_id)
+        sample = model.predict(train.join(draws, row_id), "pred").join(weights.select(row_id, "w"), row_id)
         sample = materialize(sample.select(row_id, label, "pred", "multiplicity", "w"), "boosting-sample")
         error, top = boosting_error(sample, label)
         if error <= 0 or error >= 0.5:
@@ -87,7 +87,7 @@ def adaboost(train: DataFrame, row_id: str, label: str, base, n: int, ratio: flo
             whole = raw.agg(F.sum("w")).first()[0]
             if whole <= 0:
                 break
-            weights = raw.select(row_id, (F.col("w") / F.lit(whole)).alias("w"))
+            weights = raw.withColumn("w", F.col("w") / F.lit(whole))
             kept.weights = weights
     return kept
 

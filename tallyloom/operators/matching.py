@@ -9,31 +9,30 @@ from pyspark.sql import functions as F
 def best_matching(cells: DataFrame, k: int, cluster: str = "c", label: str = "label") -> DataFrame:
     """``(c, mapped, matched)`` maximizing the sum of matched counts.
 
-    ``cells`` holds the full ``k * k`` grid ``(c, label, n)``. Clusters are
+    ``cells`` holds the full ``k * k`` grid ``(c, label, n)``, which is all that
+    is needed of the data and enters the plan as constants. Clusters are
     placed one after the other; for every set of used labels only the best
     partial matching survives, so step ``i`` holds ``choose(k, i)`` rows. Among
     equal sums the lexicographically smallest label list wins.
     """
-    rows = cells.groupBy(cluster).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct(F.col(label), F.col("n")))), lambda s: s["n"]).alias("_w")
-    )
-    spark = cells.sparkSession
-    states = spark.range(1).select(
+    counts = {(r[cluster], r[label]): r["n"] for r in cells.collect()}
+    states = cells.sparkSession.range(1).select(
         F.lit(0).cast("bigint").alias("used"), F.lit(0).cast("bigint").alias("score"), F.array().cast("array<int>").alias("path")
     )
-    labels = F.sequence(F.lit(0), F.lit(k - 1))
     for i in range(k):
-        weights = F.broadcast(rows.where(F.col(cluster) == i).select(F.col("_w")))
+        choices = F.array(
+            *[
+                F.struct(F.lit(j).alias("l"), F.lit(1 << j).cast("bigint").alias("bit"), F.lit(counts[i, j]).cast("bigint").alias("n"))
+                for j in range(k)
+            ]
+        )
         placed = (
-            states.withColumn("_i", F.lit(i))
-            .join(weights.withColumn("_i", F.lit(i)), "_i")
-            .withColumn("_l", F.explode(labels))
-            .withColumn("_bit", F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_l")))
-            .where(F.col("used").bitwiseAND(F.col("_bit")) == 0)
+            states.withColumn("_c", F.explode(choices))
+            .where(F.col("used").bitwiseAND(F.col("_c.bit")) == 0)
             .select(
-                F.col("used").bitwiseOR(F.col("_bit")).alias("used"),
-                (F.col("score") + F.get("_w", F.col("_l"))).alias("score"),
-                F.concat("path", F.array("_l")).alias("path"),
+                F.col("used").bitwiseOR(F.col("_c.bit")).alias("used"),
+                (F.col("score") + F.col("_c.n")).alias("score"),
+                F.concat("path", F.array("_c.l")).alias("path"),
             )
         )
         states = placed.groupBy("used").agg(F.min_by(F.struct("score", "path"), F.struct(-F.col("score"), F.col("path"))).alias("_s"))

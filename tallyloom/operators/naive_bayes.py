@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyloom.operators.skew import lookup_join
+from tallyloom.operators.skew import BROADCAST_ROWS, lookup_join
 from tallyloom.session import scratch
 
 # Fixed value: probability of a token never seen in a class.
@@ -62,24 +62,31 @@ def any_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
-def document_tokens(docs: DataFrame, row_id: str, features: Column, keep: Sequence[str] = ()) -> DataFrame:
-    """``(row_id, *keep, token, m)``: how often each token occurs in each document.
+def occurrences(docs: DataFrame, row_id: str, features: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """``(row_id, *keep, token)``: one row per token occurrence.
 
     ``features`` is an array of strings, or of structs with a ``token`` field
     and further fields that are kept apart.
     """
     exploded = docs.select(row_id, *keep, F.explode(features).alias("_f"))
     if isinstance(exploded.schema["_f"].dataType, StructType):
-        exploded = exploded.select(row_id, *keep, "_f.*")
-    else:
-        exploded = exploded.withColumnRenamed("_f", "token")
-    return exploded.groupBy(*exploded.columns).agg(F.count("*").alias("m"))
+        return exploded.select(row_id, *keep, "_f.*")
+    return exploded.withColumnRenamed("_f", "token")
+
+
+def counted(tokens: DataFrame) -> DataFrame:
+    """Occurrences of each token per document as ``m``."""
+    return tokens.groupBy(*tokens.columns).agg(F.count("*").alias("m"))
 
 
 def fit(
     docs: DataFrame, tokens: DataFrame, label: str, classes: Sequence[str], variants: Sequence[Variant], path: str | None = None
 ) -> Model:
-    """Count documents and tokens per variant and class, store both tables, return the model."""
+    """Count documents and tokens per variant and class, store both tables, return the model.
+
+    ``tokens`` are occurrences: they are combined to one row per token in each
+    task before anything is shuffled.
+    """
     spark = docs.sparkSession
     path = path or scratch(spark, "naive-bayes")
     names = [[f"n_{i}_{j}" for j in range(len(classes))] for i in range(len(variants))]
@@ -94,9 +101,9 @@ def fit(
         tokens.where(any_of([v.train for v in variants]))
         .groupBy("token")
         .agg(
-            F.sum("m").alias("seen"),
+            F.count("*").alias("seen"),
             *[
-                F.coalesce(F.sum(F.when(v.uses(v.train) & (F.col(label) == c), F.col("m"))), F.lit(0)).alias(names[i][j])
+                F.count_if(v.uses(v.train) & (F.col(label) == c)).alias(names[i][j])
                 for i, v in enumerate(variants)
                 for j, c in enumerate(classes)
             ],
@@ -128,24 +135,37 @@ def token_probabilities(model: Model, i: int = 0) -> list[Column]:
     return [F.when(F.col(c) > 0, F.col(c) / F.lit(model.totals[c] or 1)) for c in model.counts(i)]
 
 
-def token_log_probabilities(tokens: DataFrame, model: Model, row_id: str, variants: int = 1, **limits) -> DataFrame:
-    """``tokens`` with one column ``lp_<variant>_<class>`` each, the unseen value filled in."""
+def token_log_probabilities(
+    counts: DataFrame, model: Model, row_id: str, variants: int = 1, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """``counts`` with one column ``lp_<variant>_<class>`` each, the unseen value filled in."""
     pairs = [(i, j) for i in range(variants) for j in range(len(model.classes))]
     logs = {i: token_probabilities(model, i) for i in range(variants)}
     table = model.tokens.select("token", "seen", *[F.ln(logs[i][j]).alias(f"lp_{i}_{j}") for i, j in pairs])
-    joined = lookup_join(tokens, table, "token", row_id, "seen", rows=model.rows, **limits)
+    joined = lookup_join(counts, table, "token", row_id, "seen", rows=model.rows, broadcast_rows=broadcast_rows)
     filled = {f"lp_{i}_{j}": F.coalesce(F.col(f"lp_{i}_{j}"), F.ln(F.lit(UNSEEN))) for i, j in pairs}
     return joined.withColumns(filled).drop("seen")
 
 
-def score(docs: DataFrame, tokens: DataFrame, model: Model, row_id: str, label: str, variants: Sequence[Variant], **limits) -> DataFrame:
+def score(
+    docs: DataFrame,
+    tokens: DataFrame,
+    model: Model,
+    row_id: str,
+    label: str,
+    variants: Sequence[Variant],
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """``(row_id, label, variant, scores)``: log score of every class for all test documents.
 
     A document without tokens scores its class priors; the score of a class
-    without training documents is missing.
+    without training documents is missing. With a broadcast model the
+    occurrences of a document are summed up where they are; otherwise they are
+    counted per document before they are shuffled to the model.
     """
     used = tokens.where(any_of([v.test for v in variants]))
-    logs = token_log_probabilities(used, model, row_id, len(variants), **limits)
+    used = used.withColumn("m", F.lit(1)) if model.rows <= broadcast_rows else counted(used)
+    logs = token_log_probabilities(used, model, row_id, len(variants), broadcast_rows)
     classes = range(len(model.classes))
     sums = logs.groupBy(row_id).agg(
         *[

@@ -51,16 +51,21 @@ def shuffled_rank(df: DataFrame, row_id: str, seed: int, out: str = "rk", total:
     return ranked.drop("_h", "_block", "_sum", "_before", "_all")
 
 
-def shuffled_prefix_sum(df: DataFrame, row_id: str, value: str, seed: int, out: str = "lo", total: str = "all_sum") -> DataFrame:
-    """Exclusive running sum of an integer column in the order of the seeded permutation."""
-    hashed = _hashed(df, row_id, seed)
-    offsets = _block_offsets(hashed.groupBy("_block").agg(F.sum(value).alias("_sum")))
-    inside = Window.partitionBy("_block").orderBy("_h", row_id).rowsBetween(*BEFORE)
+def prefix_sum(df: DataFrame, rank: str, rows: str, value: str, out: str = "lo", total: str = "all_sum") -> DataFrame:
+    """Exclusive running sum of an integer column in the order of a zero-based rank.
+
+    ``rows`` is a column holding the row count. Ranks are cut into at most
+    65,536 blocks of equal length.
+    """
+    blocks = 16**BLOCK_DIGITS
+    cut = df.withColumn("_block", F.floor(F.col(rank) / F.ceil(F.col(rows) / F.lit(blocks))))
+    offsets = _block_offsets(cut.groupBy("_block").agg(F.sum(value).alias("_sum")))
+    inside = Window.partitionBy("_block").orderBy(rank).rowsBetween(*BEFORE)
     return (
-        hashed.join(F.broadcast(offsets), "_block")
+        cut.join(F.broadcast(offsets), "_block")
         .withColumn(out, (F.coalesce(F.sum(value).over(inside), F.lit(0)) + F.col("_before")).cast("bigint"))
         .withColumn(total, F.col("_all"))
-        .drop("_h", "_block", "_sum", "_before", "_all")
+        .drop("_block", "_sum", "_before", "_all")
     )
 
 

@@ -148,8 +148,9 @@ def _loss_and_gradient(block, weights: np.ndarray, smooth: float) -> tuple[np.nd
 class _Descent:
     """Limited-memory quasi-Newton state of one model."""
 
-    def __init__(self, places: int, memory: int = 8):
+    def __init__(self, places: int, intercept: float, memory: int = 20):
         self.point = np.zeros(places)
+        self.point[-1] = intercept
         self.value, self.slope = None, None
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
         self.memory, self.step, self.direction = memory, 1.0, np.zeros(places)
@@ -205,8 +206,8 @@ class SupportVectorLearner:
 
     places: int
     c: float = 1.0
-    smooth: float = 0.02
-    passes: int = 60
+    smooth: float = 0.05
+    passes: int = 80
     tolerance: float = 1e-4
 
     def descend(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int) -> list[_Descent]:
@@ -214,7 +215,8 @@ class SupportVectorLearner:
         rows = train.select(row_id, "idx", "val", label).join(drawn, row_id)
         blocks = materialize(rows.mapInPandas(_blocks(models, label), BLOCK), "blocks").rdd.persist()
         sc = train.sparkSession.sparkContext
-        states = [_Descent(self.places + 1) for _ in range(models)]
+        middle = train.agg(F.avg(label)).first()[0]
+        states = [_Descent(self.places + 1, middle) for _ in range(models)]
         smooth = self.smooth
         for _ in range(self.passes):
             points = np.stack([s.trial() for s in states], axis=1)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.hashing import hash_key, hash_number
-from tallyloom.operators.ranking import permutation_part, shuffled_prefix_sum, shuffled_rank
+from tallyloom.operators.ranking import permutation_part, prefix_sum, shuffled_rank
 
 
 def _share(n: Column, ratio: float) -> Column:
@@ -96,30 +96,35 @@ def weighted_draw(df: DataFrame, row_id: str, weight: str, ratio: float, seed: i
     the axis a draw takes the last row starting at or before it; a draw ahead of
     all rows of its cell takes the last row of the earlier cells. No pairs of
     rows and draws are formed, so a very heavy row costs nothing extra.
+
+    The columns ``_rk`` and ``_n`` of :func:`drawing_order` are used when the
+    rows have them already.
     """
-    ranked = shuffled_rank(df.select(row_id, weight), row_id, seed, "_rk", "_n").withColumn(
-        "_units", F.floor(F.col(weight) * F.col("_n") * F.lit(float(WEIGHT_UNITS)) + F.lit(0.5)).cast("bigint")
-    )
-    placed = shuffled_prefix_sum(ranked, row_id, "_units", seed, "_lo", "_whole")
-    starts = placed.where(F.col("_units") > 0).select(
-        F.col("_lo").alias("_at"), F.lit(0).alias("_kind"), F.col(row_id), F.col("_whole")
-    )
-    draws = placed.where(F.col("_rk") < _share(F.col("_n"), ratio)).select(
-        (hash_number(F.lit(salt), "_rk", seed) % F.col("_whole")).alias("_at"),
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast(df.schema[row_id].dataType).alias(row_id),
-        F.col("_whole"),
+    ranked = df if {"_rk", "_n"} <= set(df.columns) else drawing_order(df.select(row_id, weight), row_id, seed)
+    units = F.floor(F.col(weight) * F.col("_n") * F.lit(float(WEIGHT_UNITS)) + F.lit(0.5)).cast("bigint")
+    placed = prefix_sum(ranked.select(row_id, "_rk", "_n", units.alias("_units")), "_rk", "_n", "_units", "_lo", "_whole")
+    nothing = F.lit(None).cast(df.schema[row_id].dataType)
+    pick = hash_number(F.lit(salt), "_rk", seed) % F.col("_whole")
+    ends = F.array(
+        F.struct(F.col("_lo").alias("at"), F.lit(0).alias("kind"), F.col(row_id).alias("row"), (F.col("_units") > 0).alias("used")),
+        F.struct(pick.alias("at"), F.lit(1).alias("kind"), nothing.alias("row"), (F.col("_rk") < _share(F.col("_n"), ratio)).alias("used")),
     )
-    width = F.greatest(F.lit(1), F.ceil(F.col("_whole") / F.lit(CELLS)))
-    axis = starts.unionByName(draws).withColumn("_cell", F.floor(F.col("_at") / width))
-    last_in_cell = Window.partitionBy("_cell").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    carry = axis.groupBy("_cell").agg(F.max_by(F.when(F.col("_kind") == 0, F.col(row_id)), F.when(F.col("_kind") == 0, F.col("_at"))).alias("_end"))
-    carry = carry.select("_cell", F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
+    width = F.ceil(F.col("_whole") / F.lit(CELLS))
+    axis = placed.select("_whole", F.explode(ends).alias("_e")).where("_e.used")
+    axis = axis.select(F.col("_e.at"), F.col("_e.kind"), F.col("_e.row"), F.floor(F.col("_e.at") / width).alias("cell"))
+    last_in_cell = Window.partitionBy("cell").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    ends_of_cells = axis.groupBy("cell").agg(F.max_by("row", F.when(F.col("kind") == 0, F.col("at"))).alias("end"))
+    carry = ends_of_cells.select("cell", F.last("end", ignorenulls=True).over(earlier).alias("carry"))
     hits = (
-        axis.withColumn("_own", F.last(row_id, ignorenulls=True).over(last_in_cell))
-        .where(F.col("_kind") == 1)
-        .join(F.broadcast(carry), "_cell")
-        .select(F.coalesce("_own", "_carry").alias(row_id))
+        axis.withColumn("own", F.last("row", ignorenulls=True).over(last_in_cell))
+        .where("kind = 1")
+        .join(F.broadcast(carry), "cell")
+        .select(F.coalesce("own", "carry").alias(row_id))
     )
     return hits.groupBy(row_id).agg(F.count("*").alias("multiplicity"))
+
+
+def drawing_order(df: DataFrame, row_id: str, seed: int) -> DataFrame:
+    """Columns ``_rk`` and ``_n``: rank in the seeded permutation and row count."""
+    return shuffled_rank(df, row_id, seed, "_rk", "_n")

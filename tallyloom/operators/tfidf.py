@@ -23,13 +23,13 @@ class Vocabulary:
     rows: int
 
 
-def fit_idf(counts: DataFrame, documents: int) -> Vocabulary:
+def fit_idf(docs: DataFrame, tokens: Column, documents: int) -> Vocabulary:
     """Smoothed inverse document frequency ``ln((1 + n) / (1 + df)) + 1``.
 
-    ``counts`` has one row per document and token, so the document frequency is
-    a plain count with map-side combining.
+    Repeats are removed inside each row, so the document frequency is a plain
+    count that is combined in each task before the shuffle.
     """
-    df = counts.groupBy("token").agg(F.count("*").alias("df"))
+    df = docs.select(F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
     idf = F.ln(F.lit(1.0 + documents) / (F.col("df") + 1)) + 1
     table = materialize(df.select("token", "df", idf.alias("idf")), "vocabulary")
     return Vocabulary(table, table.count())

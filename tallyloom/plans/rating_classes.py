@@ -114,7 +114,7 @@ def class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, seed in MODEL_SEEDS.items():
         docs = sampling.rate_part(docs, "doc_id", [SHARE], seed, f"part_{name}", train)
     keep = ["overall", "is_test", *[f"part_{n}" for n in MODEL_SEEDS]]
-    tokens = nb.document_tokens(docs, "doc_id", T.word_tokens(F.col("summary")), keep)
+    tokens = nb.occurrences(docs, "doc_id", T.word_tokens(F.col("summary")), keep)
     is_test = F.col("is_test")
     runs = [nb.Variant(n, ~is_test & (F.col(f"part_{n}") == 0), is_test) for n in MODEL_SEEDS]
     model = nb.fit(docs, tokens, "overall", RATINGS, runs)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import text as T
 from tallyloom.operators import ensembles as E
 from tallyloom.operators import metrics, sampling, tfidf
-from tallyloom.operators.naive_bayes import document_tokens
+from tallyloom.operators.naive_bayes import counted, occurrences
 from tallyloom.operators.regressors import learner, predictions
 from tallyloom.plans.views import reviews, table
 from tallyloom.session import materialize, scratch
@@ -36,22 +36,22 @@ def tfidf_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_counts(split: DataFrame) -> DataFrame:
-    return document_tokens(split, "doc_id", T.word_tokens(F.col("review")), ["is_train"])
+    return counted(occurrences(split, "doc_id", T.word_tokens(F.col("review")), ["is_train"]))
 
 
-def train_vocabulary(split: DataFrame, counts: DataFrame) -> tfidf.Vocabulary:
-    return tfidf.fit_idf(counts.where("is_train"), split.where("is_train").count())
+def train_vocabulary(split: DataFrame) -> tfidf.Vocabulary:
+    train = split.where("is_train")
+    return tfidf.fit_idf(train, T.word_tokens(F.col("review")), train.count())
 
 
 def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = split_reviews(spark, sf_dir)
-    return train_vocabulary(split, review_counts(split)).table.select("token", "df", F.round("idf", 9).alias("idf"))
+    return train_vocabulary(split).table.select("token", "df", F.round("idf", 9).alias("idf"))
 
 
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = split_reviews(spark, sf_dir)
-    counts = review_counts(split)
-    cells = tfidf.transform(counts, train_vocabulary(split, counts), "doc_id", ("is_train",))
+    cells = tfidf.transform(review_counts(split), train_vocabulary(split), "doc_id", ("is_train",))
     return cells.select("doc_id", "is_train", "token", F.round("w", 9).alias("w"))
 
 
@@ -168,9 +168,8 @@ def text_features(spark: SparkSession, sf_dir: str, base: str) -> tuple[DataFram
         rows = materialize(vectors.select("doc_id", "is_train", "y", "features"), "tree-features")
         fitted = learner("tree", max_depth=MAX_DEPTH)
     else:
-        counts = materialize(review_counts(split), "review-counts")
-        vocabulary, places = tfidf.numbered(train_vocabulary(split, counts))
-        lists = tfidf.packed(counts, vocabulary, "doc_id")
+        vocabulary, places = tfidf.numbered(train_vocabulary(split))
+        lists = tfidf.packed(review_counts(split), vocabulary, "doc_id")
         rows = materialize(split.select("doc_id", "is_train", "y").join(lists, "doc_id", "left"), "svr-features")
         fitted = learner("svr", places=places)
     return rows.where("is_train"), rows.where(~F.col("is_train")), fitted

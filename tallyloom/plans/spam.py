@@ -191,8 +191,8 @@ def fold_train_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- counts -----------------------------------------------------------------
 
 
-def mail_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nb.document_tokens(mail(spark, sf_dir), "doc_id", T.mail_features(F.col("sender"), F.col("body")), ["label"])
+def mail_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nb.occurrences(mail(spark, sf_dir), "doc_id", T.mail_features(F.col("sender"), F.col("body")), ["label"])
 
 
 def label_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,14 +207,13 @@ def class_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = mail_token_counts(spark, sf_dir)
-    per_class = [F.coalesce(F.sum(F.when(F.col("label") == c, F.col("m"))), F.lit(0)).alias(f"n_{c}") for c in CLASSES]
-    return counts.groupBy("token").agg(*per_class)
+    per_class = [F.count_if(F.col("label") == c).alias(f"n_{c}") for c in CLASSES]
+    return mail_occurrences(spark, sf_dir).groupBy("token").agg(*per_class)
 
 
 def whole_mail_model(spark: SparkSession, sf_dir: str) -> nb.Model:
     whole = [nb.Variant("all", F.lit(True), F.lit(True))]
-    return nb.fit(mail(spark, sf_dir), mail_token_counts(spark, sf_dir), "label", CLASSES, whole)
+    return nb.fit(mail(spark, sf_dir), mail_occurrences(spark, sf_dir), "label", CLASSES, whole)
 
 
 def class_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,7 +248,7 @@ def split_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def holdout_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[nb.Variant]]:
     docs = split_mail(spark, sf_dir)
-    tokens = nb.document_tokens(docs, "doc_id", T.mail_features(F.col("sender"), F.col("body")), ["label", "is_test"])
+    tokens = nb.occurrences(docs, "doc_id", T.mail_features(F.col("sender"), F.col("body")), ["label", "is_test"])
     return docs, tokens, [nb.Variant("holdout", ~F.col("is_test"), F.col("is_test"))]
 
 
@@ -267,7 +266,8 @@ def predicted(scores: DataFrame) -> DataFrame:
 def nb_token_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, tokens, runs = holdout_inputs(spark, sf_dir)
     model = nb.fit(docs, tokens, "label", CLASSES, runs)
-    logs = nb.token_log_probabilities(tokens.where("is_test"), model, "doc_id")
+    counts = nb.counted(tokens.where("is_test"))
+    logs = nb.token_log_probabilities(counts, model, "doc_id")
     return logs.select(
         "doc_id", "token", "m", F.round("lp_0_0", 6).alias("lp_ham"), F.round("lp_0_1", 6).alias("lp_spam")
     )
@@ -305,8 +305,7 @@ def nb_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fold_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All folds in one job: counts of a fold's training data are the other folds' counts."""
     docs = folded_mail(spark, sf_dir)
-    counted = nb.document_tokens(docs, "doc_id", T.mail_features(F.col("sender"), F.col("body")), ["label", "fold"])
-    tokens = materialize(counted, "fold-tokens")
+    tokens = nb.occurrences(docs, "doc_id", T.mail_features(F.col("sender"), F.col("body")), ["label", "fold"])
     docs = materialize(docs.select("doc_id", "label", "fold"), "folds")
     fold = F.col("fold")
     runs = [nb.Variant(str(i), sampling.in_training(fold, i), F.coalesce(fold == i, F.lit(False))) for i in range(FOLDS)]
@@ -327,7 +326,7 @@ def nb_rate_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = split_mail(spark, sf_dir)
     train = docs.where(~F.col("is_test"))
     docs = sampling.rate_part(docs, "doc_id", list(RATES), SEED + 1, "part", train)
-    tokens = nb.document_tokens(
+    tokens = nb.occurrences(
         docs, "doc_id", T.mail_features(F.col("sender"), F.col("body")), ["label", "is_test", "part"]
     )
     docs = materialize(docs.select("doc_id", "label", "is_test", "part"), "sampled")
@@ -354,7 +353,7 @@ def nb_sender_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
         tagged("domain", sender_array("domain")),
         tagged("full", sender_array("full")),
     )
-    tokens = nb.document_tokens(docs, "doc_id", features, ["label", "is_test"])
+    tokens = nb.occurrences(docs, "doc_id", features, ["label", "is_test"])
     runs = [
         nb.Variant(mode, ~F.col("is_test"), F.col("is_test"), F.col("kind").isin("body", mode)) for mode in T.SENDER_MODES
     ]

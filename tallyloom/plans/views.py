@@ -6,8 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Tables with long text, and the unique key they can be dealt out by.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table.
+
+    A text table stored in fewer splits than there are cores is dealt out by its
+    key, since tokenizing costs far more than moving so little. A table with
+    enough splits is read as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_TABLES and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, TEXT_TABLES[name])
+    return df
 
 
 def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
