@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +53,10 @@ class LineLearner:
         return [fitted[i] for i in range(models)]
 
 
+# Estimator runs submitted at the same time.
+PARALLEL_FITS = 4
+
+
 @dataclass(frozen=True)
 class TreeModel:
     model: DecisionTreeRegressionModel
@@ -71,9 +78,12 @@ class TreeLearner:
             maxDepth=self.max_depth, labelCol=label, featuresCol="features", weightCol="multiplicity", seed=self.seed
         )
         weight = F.col("multiplicity").cast("double")
-        return [
-            TreeModel(tree.fit(sample.where(F.col("model_id") == i).withColumn("multiplicity", weight))) for i in range(models)
-        ]
+
+        def grow(i: int) -> TreeModel:
+            return TreeModel(tree.fit(sample.where(F.col("model_id") == i).withColumn("multiplicity", weight)))
+
+        with ThreadPool(min(models, PARALLEL_FITS)) as pool:
+            return pool.map(inheritable_thread_target(train.sparkSession)(grow), range(models))
 
 
 @dataclass(frozen=True)
@@ -120,6 +130,11 @@ def _blocks(models: int, label: str):
     return pack
 
 
+# Block bytes per task: small data is not worth many tasks per pass.
+TASK_BYTES = 4 << 20
+# Partition sums up to this size in total go to the driver at once, larger ones in a tree.
+DIRECT_BYTES = 128 << 20
+
 BLOCK = "idx binary, val binary, counts binary, y binary, weight binary"
 
 
@@ -145,6 +160,18 @@ def _loss_and_gradient(block, weights: np.ndarray, smooth: float) -> tuple[np.nd
     return loss, gradient
 
 
+def _add(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return a[0] + b[0], a[1] + b[1]
+
+
+def _summed(blocks, weights: np.ndarray, smooth: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """One loss and one gradient per partition; none for an empty partition."""
+    parts = (_loss_and_gradient(b, weights, smooth) for b in blocks)
+    first = next(parts, None)
+    if first is not None:
+        yield reduce(_add, parts, first)
+
+
 class _Descent:
     """Limited-memory quasi-Newton state of one model."""
 
@@ -189,9 +216,10 @@ class _Descent:
         moved, bend = self.step * self.direction, slope - self.slope
         if moved @ bend > 1e-12:
             self.pairs = [*self.pairs, (moved, bend)][-self.memory:]
-        self.done = self.value - value <= tolerance * max(1.0, abs(self.value))
         self.point, self.value, self.slope = self.point + moved, value, slope
         self.history.append(value)
+        recent = self.history[-6:]
+        self.done = len(recent) == 6 and recent[0] - value <= tolerance * max(1.0, abs(value))
         self._turn()
 
 
@@ -201,29 +229,35 @@ class SupportVectorLearner:
 
     The absolute error is smoothed to ``sqrt(r**2 + smooth**2)``. All models
     share every pass; a pass sends out one weight matrix of bounded size and
-    brings back loss and gradient summed up in a tree.
+    brings back loss and gradient summed up. A model is finished when five steps
+    together gain less than ``tolerance`` of its objective.
     """
 
     places: int
     c: float = 1.0
     smooth: float = 0.05
     passes: int = 80
-    tolerance: float = 1e-4
+    tolerance: float = 5e-3
 
     def descend(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int) -> list[_Descent]:
         drawn = draws.groupBy(row_id).agg(F.collect_list(F.struct("model_id", "multiplicity")).alias("drawn"))
         rows = train.select(row_id, "idx", "val", label).join(drawn, row_id)
-        blocks = materialize(rows.mapInPandas(_blocks(models, label), BLOCK), "blocks").rdd.persist()
+        table = materialize(rows.mapInPandas(_blocks(models, label), BLOCK), "blocks")
+        volume = table.agg(F.sum(F.length("idx") + F.length("val"))).first()[0] or 0
+        blocks = table.rdd.coalesce(1 + volume // TASK_BYTES).persist()
         sc = train.sparkSession.sparkContext
+        direct = blocks.getNumPartitions() * (self.places + 1) * models * 8 <= DIRECT_BYTES
         middle = train.agg(F.avg(label)).first()[0]
         states = [_Descent(self.places + 1, middle) for _ in range(models)]
         smooth = self.smooth
         for _ in range(self.passes):
             points = np.stack([s.trial() for s in states], axis=1)
             shared = sc.broadcast(points)
-            loss, gradient = blocks.map(lambda b, w=shared: _loss_and_gradient(b, w.value, smooth)).treeReduce(
-                lambda a, b: (a[0] + b[0], a[1] + b[1])
-            )
+            parts = blocks.mapPartitions(lambda rows, w=shared: _summed(rows, w.value, smooth))
+            if direct:
+                loss, gradient = parts.reduce(_add)
+            else:
+                loss, gradient = parts.treeReduce(_add)
             shared.destroy()
             for m, state in enumerate(states):
                 if not state.done:

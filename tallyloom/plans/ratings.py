@@ -175,9 +175,8 @@ def text_features(spark: SparkSession, sf_dir: str, base: str) -> tuple[DataFram
     return rows.where("is_train"), rows.where(~F.col("is_train")), fitted
 
 
-def text_model(spark: SparkSession, sf_dir: str, method: str, base: str) -> DataFrame:
-    """``(doc_id, y, pred)`` on the test reviews for one cell of the comparison grid."""
-    train, test, fitted = text_features(spark, sf_dir, base)
+def text_model(train: DataFrame, test: DataFrame, fitted, method: str) -> DataFrame:
+    """``(doc_id, y, pred)`` on the test reviews by one ensemble method."""
     if method == "boosting":
         preds = E.boosted_predictions(E.adaboost(train, "doc_id", "y", fitted, MODELS, RATIO, SEED), test, "doc_id")
     elif method == "bagging":
@@ -191,27 +190,28 @@ def text_model(spark: SparkSession, sf_dir: str, method: str, base: str) -> Data
 
 
 def linear_svr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_model(spark, sf_dir, "single", "svr")
+    return text_model(*text_features(spark, sf_dir, "svr"), "single")
 
 
 def tree_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_model(spark, sf_dir, "single", "tree")
+    return text_model(*text_features(spark, sf_dir, "tree"), "single")
 
 
 def bagging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_model(spark, sf_dir, "bagging", "svr")
+    return text_model(*text_features(spark, sf_dir, "svr"), "bagging")
 
 
 def adaboost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_model(spark, sf_dir, "boosting", "svr")
+    return text_model(*text_features(spark, sf_dir, "svr"), "boosting")
 
 
 def regression_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean absolute and root mean squared error of every method with every base learner."""
     path = scratch(spark, "grid")
     for base in ("svr", "tree"):
+        inputs = text_features(spark, sf_dir, base)
         for method in ("single", "bagging", "boosting"):
-            quality = metrics.absolute_and_squared(text_model(spark, sf_dir, method, base), "pred", "y").first()
+            quality = metrics.absolute_and_squared(text_model(*inputs, method), "pred", "y").first()
             S.append_metrics(spark, path, f"{method}_{base}", quality.asDict())
     return spark.read.parquet(path)
 
