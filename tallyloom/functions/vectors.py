@@ -10,6 +10,11 @@ def standardize(vector: Column, mean: float = 0.5, std: float = 1.0) -> Column:
     return F.transform(vector, lambda v: (v.cast("double") - F.lit(mean)) / F.lit(std))
 
 
+def standardize_rows(rows: Column, mean: float = 0.5, std: float = 1.0) -> Column:
+    """Standardized values of an array of rows, such as an image, as one flat vector."""
+    return standardize(F.flatten(rows), mean, std)
+
+
 def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
 

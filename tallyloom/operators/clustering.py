@@ -61,27 +61,35 @@ class Run:
 
 
 def _partial_sums(vector: str, runs: Sequence[tuple[int, np.ndarray, np.ndarray | None]]):
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per task and run: size, changes, cost and vector sum of every cluster met."""
+
+    def task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tallies = {run: np.zeros((len(c), 3 + c.shape[1])) for run, c, _ in runs}
         for frame in frames:
             if frame.empty:
                 continue
             points = matrix(frame[vector])
             for run, centers, previous in runs:
                 best, gap = nearest(points, centers)
-                moved = best != nearest(points, previous)[0] if previous is not None else np.ones(len(best), bool)
-                found = np.unique(best)
+                moved = best != nearest(points, previous)[0] if previous is not None else np.ones(len(best))
+                facts = np.column_stack([np.ones(len(best)), moved, gap, points])
+                for c in np.unique(best):
+                    tallies[run][c] += facts[best == c].sum(axis=0)
+        for run, tally in tallies.items():
+            met = np.flatnonzero(tally[:, 0])
+            if len(met):
                 yield pd.DataFrame(
                     {
                         "run": run,
-                        "c": found,
-                        "n": [int((best == c).sum()) for c in found],
-                        "moved": [int(moved[best == c].sum()) for c in found],
-                        "cost": [float(gap[best == c].sum()) for c in found],
-                        "sums": [points[best == c].sum(axis=0) for c in found],
+                        "c": met,
+                        "n": tally[met, 0].astype(np.int64),
+                        "moved": tally[met, 1].astype(np.int64),
+                        "cost": tally[met, 2],
+                        "sums": list(tally[met, 3:]),
                     }
                 )
 
-    return batches
+    return task
 
 
 PARTIAL = "run int, c int, n bigint, moved bigint, cost double, sums array<double>"

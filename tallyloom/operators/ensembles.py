@@ -67,10 +67,10 @@ def adaboost(train: DataFrame, row_id: str, label: str, base, n: int, ratio: flo
     """
     order = materialize(drawing_order(train.select(row_id), row_id, seed), "drawing-order")
     weights = order.withColumn("w", F.lit(1.0) / F.col("_n"))
-    kept = Boosted([], [], [], weights)
+    kept, model = Boosted([], [], [], weights), None
     for i in range(n):
         draws = materialize(weighted_draw(weights, row_id, "w", ratio, seed, i), "draws")
-        model = base.fit(train, draws.withColumn("model_id", F.lit(0)), row_id, label, 1)[0]
+        model = base.fit(train, draws.withColumn("model_id", F.lit(0)), row_id, label, 1, model)[0]
         sample = model.predict(train.join(draws, row_id), "pred").join(weights.select(row_id, "w"), row_id)
         sample = materialize(sample.select(row_id, label, "pred", "multiplicity", "w"), "boosting-sample")
         error, top = boosting_error(sample, label)

@@ -2,7 +2,9 @@
 
 A learner fits several models at once from ``draws (model_id, row_id,
 multiplicity)``: the training rows are read in common passes and weighted by how
-often each model drew them. A fitted model adds a prediction column.
+often each model drew them. A fitted model adds a prediction column. An
+iterative learner may start from the model ``near``; its objective has a single
+minimum, so this saves passes only.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ class LineModel:
 class LineLearner:
     """Least squares on one feature ``x``: all models are one aggregate over weighted moments."""
 
-    def fit(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int) -> list[LineModel]:
+    def fit(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near=None) -> list[LineModel]:
         m, x, y = F.col("multiplicity").cast("double"), F.col("x"), F.col(label)
         moments = (
             train.select(row_id, "x", label)
@@ -72,7 +74,7 @@ class TreeLearner:
     max_depth: int
     seed: int = 0
 
-    def fit(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int) -> list[TreeModel]:
+    def fit(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near=None) -> list[TreeModel]:
         sample = materialize(train.select(row_id, "features", label).join(draws, row_id), "tree-sample")
         tree = DecisionTreeRegressor(
             maxDepth=self.max_depth, labelCol=label, featuresCol="features", weightCol="multiplicity", seed=self.seed
@@ -175,12 +177,11 @@ def _summed(blocks, weights: np.ndarray, smooth: float) -> Iterator[tuple[np.nda
 class _Descent:
     """Limited-memory quasi-Newton state of one model."""
 
-    def __init__(self, places: int, intercept: float, memory: int = 20):
-        self.point = np.zeros(places)
-        self.point[-1] = intercept
+    def __init__(self, start: np.ndarray, memory: int = 20):
+        self.point = start
         self.value, self.slope = None, None
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
-        self.memory, self.step, self.direction = memory, 1.0, np.zeros(places)
+        self.memory, self.step, self.direction = memory, 1.0, np.zeros(len(start))
         self.history: list[float] = []
         self.done = False
 
@@ -239,7 +240,9 @@ class SupportVectorLearner:
     passes: int = 80
     tolerance: float = 5e-3
 
-    def descend(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int) -> list[_Descent]:
+    def descend(
+        self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near: VectorModel | None = None
+    ) -> list[_Descent]:
         drawn = draws.groupBy(row_id).agg(F.collect_list(F.struct("model_id", "multiplicity")).alias("drawn"))
         rows = train.select(row_id, "idx", "val", label).join(drawn, row_id)
         table = materialize(rows.mapInPandas(_blocks(models, label), BLOCK), "blocks")
@@ -247,8 +250,11 @@ class SupportVectorLearner:
         blocks = table.rdd.coalesce(1 + volume // TASK_BYTES).persist()
         sc = train.sparkSession.sparkContext
         direct = blocks.getNumPartitions() * (self.places + 1) * models * 8 <= DIRECT_BYTES
-        middle = train.agg(F.avg(label)).first()[0]
-        states = [_Descent(self.places + 1, middle) for _ in range(models)]
+        if near is None:
+            start = np.append(np.zeros(self.places), train.agg(F.avg(label)).first()[0])
+        else:
+            start = near.weights
+        states = [_Descent(start.copy()) for _ in range(models)]
         smooth = self.smooth
         for _ in range(self.passes):
             points = np.stack([s.trial() for s in states], axis=1)
@@ -268,8 +274,8 @@ class SupportVectorLearner:
         blocks.unpersist()
         return states
 
-    def fit(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int) -> list[VectorModel]:
-        return [VectorModel(s.point) for s in self.descend(train, draws, row_id, label, models)]
+    def fit(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near=None) -> list[VectorModel]:
+        return [VectorModel(s.point) for s in self.descend(train, draws, row_id, label, models, near)]
 
 
 def learner(name: str, *, max_depth: int | None = None, places: int | None = None):

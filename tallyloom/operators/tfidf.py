@@ -10,8 +10,9 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators.naive_bayes import counted
 from tallyloom.operators.ranking import ordered_index
-from tallyloom.operators.skew import lookup_join
+from tallyloom.operators.skew import BROADCAST_ROWS, lookup_join
 from tallyloom.session import materialize
 
 
@@ -35,9 +36,11 @@ def fit_idf(docs: DataFrame, tokens: Column, documents: int) -> Vocabulary:
     return Vocabulary(table, table.count())
 
 
-def transform(counts: DataFrame, vocabulary: Vocabulary, row_id: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def transform(
+    counts: DataFrame, vocabulary: Vocabulary, row_id: str, extra: tuple[str, ...] = (), broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """``(row_id, *extra, token, w)``: weights scaled to unit length per document; unknown tokens drop out."""
-    joined = lookup_join(counts, vocabulary.table, "token", row_id, "df", "inner", vocabulary.rows)
+    joined = lookup_join(counts, vocabulary.table, "token", row_id, "df", "inner", vocabulary.rows, broadcast_rows)
     weighted = joined.withColumn("w", F.col("m") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(row_id)))
     return weighted.select(row_id, *extra, "token", (F.col("w") / norm).alias("w"))
@@ -56,12 +59,16 @@ def numbered(vocabulary: Vocabulary, places: int = MAX_PLACES) -> tuple[Vocabula
     return Vocabulary(hashed, vocabulary.rows), places
 
 
-def packed(counts: DataFrame, vocabulary: Vocabulary, row_id: str) -> DataFrame:
+def packed(tokens: DataFrame, vocabulary: Vocabulary, row_id: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per document with arrays ``idx`` and ``val``; needs a numbered vocabulary.
 
+    ``tokens`` are occurrences. With a broadcast vocabulary they are summed up
+    per place before the first shuffle, otherwise counted per token before it.
     A list never outgrows the text of its own document.
     """
-    joined = lookup_join(counts, vocabulary.table, "token", row_id, "df", "inner", vocabulary.rows)
+    tokens = tokens.select(row_id, "token")
+    counts = tokens.withColumn("m", F.lit(1)) if vocabulary.rows <= broadcast_rows else counted(tokens)
+    joined = lookup_join(counts, vocabulary.table, "token", row_id, "df", "inner", vocabulary.rows, broadcast_rows)
     per_place = joined.groupBy(row_id, "idx").agg(F.sum(F.col("m") * F.col("idf")).alias("w"))
     lists = per_place.groupBy(row_id).agg(
         F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("_p"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm")

@@ -35,8 +35,8 @@ def tfidf_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.groupBy("token").agg(F.count("*").alias("n"))
 
 
-def review_counts(split: DataFrame) -> DataFrame:
-    return counted(occurrences(split, "doc_id", T.word_tokens(F.col("review")), ["is_train"]))
+def review_tokens(split: DataFrame) -> DataFrame:
+    return occurrences(split, "doc_id", T.word_tokens(F.col("review")), ["is_train"])
 
 
 def train_vocabulary(split: DataFrame) -> tfidf.Vocabulary:
@@ -51,7 +51,7 @@ def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = split_reviews(spark, sf_dir)
-    cells = tfidf.transform(review_counts(split), train_vocabulary(split), "doc_id", ("is_train",))
+    cells = tfidf.transform(counted(review_tokens(split)), train_vocabulary(split), "doc_id", ("is_train",))
     return cells.select("doc_id", "is_train", "token", F.round("w", 9).alias("w"))
 
 
@@ -169,7 +169,7 @@ def text_features(spark: SparkSession, sf_dir: str, base: str) -> tuple[DataFram
         fitted = learner("tree", max_depth=MAX_DEPTH)
     else:
         vocabulary, places = tfidf.numbered(train_vocabulary(split))
-        lists = tfidf.packed(review_counts(split), vocabulary, "doc_id")
+        lists = tfidf.packed(review_tokens(split), vocabulary, "doc_id")
         rows = materialize(split.select("doc_id", "is_train", "y").join(lists, "doc_id", "left"), "svr-features")
         fitted = learner("svr", places=places)
     return rows.where("is_train"), rows.where(~F.col("is_train")), fitted

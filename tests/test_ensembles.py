@@ -38,6 +38,8 @@ def test_tfidf_equals_the_definition_and_drops_unknown_tokens(spark):
     vocabulary = tfidf.fit_idf(docs, words, docs.count())
     cells = tfidf.transform(counted(occurrences(docs, "row", words)), vocabulary, "row")
     assert {(r.row, r.token): r.w for r in cells.collect()} == pytest.approx(plain_tfidf())
+    shuffled = tfidf.transform(counted(occurrences(docs, "row", words)), vocabulary, "row", (), 0)
+    assert {(r.row, r.token): r.w for r in shuffled.collect()} == pytest.approx(plain_tfidf())
     new = spark.createDataFrame([(9, "cat unheard")], "row long, t string")
     got = tfidf.transform(counted(occurrences(new, "row", words)), vocabulary, "row").collect()
     assert [(r.token, r.w) for r in got] == [("cat", 1.0)]
@@ -47,15 +49,17 @@ def test_packed_rows_and_hashed_places(spark):
     docs = text_df(spark)
     words = T.word_tokens(F.col("t"))
     vocabulary = tfidf.fit_idf(docs, words, docs.count())
-    counts = counted(occurrences(docs, "row", words))
+    tokens = occurrences(docs, "row", words)
     exact, places = tfidf.numbered(vocabulary)
     assert places == vocabulary.rows
     names = {r.idx: r.token for r in exact.table.collect()}
-    got = {(r.row, names[i]): v for r in tfidf.packed(counts, exact, "row").collect() for i, v in zip(r.idx, r.val)}
+    got = {(r.row, names[i]): v for r in tfidf.packed(tokens, exact, "row").collect() for i, v in zip(r.idx, r.val)}
     assert got == pytest.approx(plain_tfidf())
+    shuffled = tfidf.packed(tokens, exact, "row", 0).collect()
+    assert {(r.row, names[i]): v for r in shuffled for i, v in zip(r.idx, r.val)} == pytest.approx(plain_tfidf())
     hashed, few = tfidf.numbered(vocabulary, 4)
     assert few == 4
-    for r in tfidf.packed(counts, hashed, "row").collect():
+    for r in tfidf.packed(tokens, hashed, "row").collect():
         assert max(r.idx) < 4 and sum(v * v for v in r.val) == pytest.approx(1)
 
 
@@ -214,6 +218,11 @@ def test_softmax_and_expected_rating(spark):
     assert got == pytest.approx(2.0)
 
 
+def test_image_rows_are_flattened(spark):
+    df = spark.createDataFrame([([[0.0, 1.0], [0.5, 0.25]],)], "r array<array<float>>")
+    assert df.select(V.standardize_rows(F.col("r"))).first()[0] == [-0.5, 0.5, 0.0, -0.25]
+
+
 def test_soft_vote_is_the_elementwise_mean(spark):
     df = spark.createDataFrame([(1, "a", [0.2, 0.8]), (1, "b", [0.6, 0.4]), (2, "a", [1.0, 0.0])], "row long, model string, probs array<double>")
     got = {r.row: r.probs for r in E.soft_vote(df, "row").collect()}
