@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.hashing import hash_key, hash_number
 from tallyloom.operators.ranking import permutation_part, prefix_sum, shuffled_rank
+from tallyloom.session import materialize
 
 
 def _share(n: Column, ratio: float) -> Column:
@@ -69,8 +70,9 @@ def bootstrap(df: DataFrame, row_id: str, ratio: float, models: int, seed: int)
 
     Draw ``j`` of a model is generated next to the row of rank ``j``, so the
     draws are as spread out as the rows; each one hashes to the rank it picks.
+    The ranked ids are needed twice and are written to shared storage once.
     """
-    ranked = shuffled_rank(df.select(row_id), row_id, seed, "_rk", "_n")
+    ranked = materialize(drawing_order(df.select(row_id), row_id, seed), "drawing-order")
     rounds = max(1, math.ceil(ratio))
     draws = (
         ranked.withColumn("_round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
@@ -100,7 +102,9 @@ def weighted_draw(df: DataFrame, row_id: str, weight: str, ratio: float, seed: i
     The columns ``_rk`` and ``_n`` of :func:`drawing_order` are used when the
     rows have them already.
     """
-    ranked = df if {"_rk", "_n"} <= set(df.columns) else drawing_order(df.select(row_id, weight), row_id, seed)
+    ranked = df
+    if not {"_rk", "_n"} <= set(df.columns):
+        ranked = materialize(drawing_order(df.select(row_id, weight), row_id, seed), "drawing-order")
     units = F.floor(F.col(weight) * F.col("_n") * F.lit(float(WEIGHT_UNITS)) + F.lit(0.5)).cast("bigint")
     placed = prefix_sum(ranked.select(row_id, "_rk", "_n", units.alias("_units")), "_rk", "_n", "_units", "_lo", "_whole")
     nothing = F.lit(None).cast(df.schema[row_id].dataType)

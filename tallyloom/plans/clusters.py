@@ -14,7 +14,7 @@ from tallyloom.operators import clustering as C
 from tallyloom.operators import metrics
 from tallyloom.operators.sampling import first_shuffled
 from tallyloom.plans.views import vectors
-from tallyloom.session import scratch
+from tallyloom.session import materialize, scratch
 
 SEED = 2021
 K = 10
@@ -85,7 +85,7 @@ def majority_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def voted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clusters = first_assignment(spark, sf_dir)
+    clusters = materialize(first_assignment(spark, sf_dir), "assignment")
     return C.apply_mapping(clusters, C.cluster_labels(C.contingency(clusters), K, "voting"))
 
 
