@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyloom.operators.skew import BROADCAST_ROWS, lookup_join
+from tallyloom.operators.skew import BROADCAST_BYTES, Size, lookup_join
 from tallyloom.session import scratch
 
 # Fixed value: probability of a token never seen in a class.
@@ -44,13 +44,13 @@ class Model:
     """Stored parameters: document counts (one row) and token counts (one row per token).
 
     The few numbers per variant and class are kept at hand: ``documents`` and
-    ``totals`` map a count column to its sum, ``rows`` is the number of tokens.
+    ``totals`` map a count column to its sum, ``size`` measures the token table.
     """
 
     classes: tuple[str, ...]
     priors: DataFrame
     tokens: DataFrame
-    rows: int
+    size: Size
     documents: dict[str, int]
     totals: dict[str, int]
 
@@ -118,10 +118,11 @@ def load(spark: SparkSession, path: str, classes: Sequence[str]) -> Model:
     priors = spark.read.parquet(f"{path}/priors")
     tokens = spark.read.parquet(f"{path}/tokens")
     names = priors.columns
-    sums = tokens.agg(F.count("*").alias("rows"), *[F.sum(c).alias(c) for c in names]).first()
-    return Model(
-        tuple(classes), priors, tokens, sums["rows"], priors.first().asDict(), {c: sums[c] or 0 for c in names}
-    )
+    sums = tokens.agg(
+        F.count("*").alias("rows"), F.sum(F.octet_length("token")).alias("bytes"), *[F.sum(c).alias(c) for c in names]
+    ).first()
+    size = Size(sums["rows"], sums["bytes"] or 0)
+    return Model(tuple(classes), priors, tokens, size, priors.first().asDict(), {c: sums[c] or 0 for c in names})
 
 
 def class_priors(model: Model, i: int = 0) -> list[float | None]:
@@ -136,13 +137,13 @@ def token_probabilities(model: Model, i: int = 0) -> list[Column]:
 
 
 def token_log_probabilities(
-    counts: DataFrame, model: Model, row_id: str, variants: int = 1, broadcast_rows: int = BROADCAST_ROWS
+    counts: DataFrame, model: Model, row_id: str, variants: int = 1, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``counts`` with one column ``lp_<variant>_<class>`` each, the unseen value filled in."""
     pairs = [(i, j) for i in range(variants) for j in range(len(model.classes))]
     logs = {i: token_probabilities(model, i) for i in range(variants)}
     table = model.tokens.select("token", "seen", *[F.ln(logs[i][j]).alias(f"lp_{i}_{j}") for i, j in pairs])
-    joined = lookup_join(counts, table, "token", row_id, "seen", rows=model.rows, broadcast_rows=broadcast_rows)
+    joined = lookup_join(counts, table, "token", row_id, "seen", size=model.size, limit=limit)
     filled = {f"lp_{i}_{j}": F.coalesce(F.col(f"lp_{i}_{j}"), F.ln(F.lit(UNSEEN))) for i, j in pairs}
     return joined.withColumns(filled).drop("seen")
 
@@ -154,7 +155,7 @@ def score(
     row_id: str,
     label: str,
     variants: Sequence[Variant],
-    broadcast_rows: int = BROADCAST_ROWS,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(row_id, label, variant, scores)``: log score of every class for all test documents.
 
@@ -164,8 +165,9 @@ def score(
     counted per document before they are shuffled to the model.
     """
     used = tokens.where(any_of([v.test for v in variants]))
-    used = used.withColumn("m", F.lit(1)) if model.rows <= broadcast_rows else counted(used)
-    logs = token_log_probabilities(used, model, row_id, len(variants), broadcast_rows)
+    columns = 2 + len(variants) * len(model.classes)
+    used = used.withColumn("m", F.lit(1)) if model.size.fits(columns, limit) else counted(used)
+    logs = token_log_probabilities(used, model, row_id, len(variants), limit)
     classes = range(len(model.classes))
     sums = logs.groupBy(row_id).agg(
         *[

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ranking import ordered_index
-from tallyloom.operators.skew import lookup_join
+from tallyloom.operators.skew import Size, lookup_join, measure
 from tallyloom.session import materialize
 
 # Reserved ids, sequence length.
@@ -23,19 +23,19 @@ class TokenIds:
     """``(token, n, token_id)`` ordered by falling frequency, then token."""
 
     table: DataFrame
-    rows: int
+    size: Size
 
 
 def build_ids(tokens: DataFrame) -> TokenIds:
     """Ids of all tokens in a column ``token``."""
     counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
     table = materialize(ordered_index(counts, F.desc("n"), "token", out="token_id", start=FIRST_ID), "token-ids")
-    return TokenIds(table, table.count())
+    return TokenIds(table, measure(table, "token"))
 
 
 def encode(positions: DataFrame, ids: TokenIds, row_id: str, **limits) -> DataFrame:
     """``(row_id, pos, token_id)`` from ``(row_id, pos, token)``; unknown tokens share one id."""
-    joined = lookup_join(positions, ids.table, "token", row_id, "n", rows=ids.rows, **limits)
+    joined = lookup_join(positions, ids.table, "token", row_id, "n", size=ids.size, **limits)
     return joined.select(row_id, "pos", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("token_id"))
 
 

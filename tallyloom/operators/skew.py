@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup table with at most this many rows is broadcast.
-BROADCAST_ROWS = 500_000
+# A lookup table estimated at up to this many bytes is broadcast.
+BROADCAST_BYTES = 64 << 20
+# Bytes counted per value beside the key itself.
+VALUE_BYTES = 16
 # A key is hot when it holds more than 1/HOT_SHARE of all weight, so there are
 # always fewer than HOT_SHARE hot keys.
 HOT_SHARE = 2_000
 
 
+@dataclass(frozen=True)
+class Size:
+    """Counted rows and key bytes of a lookup table with a string key."""
+
+    rows: int
+    key_bytes: int
+
+    def fits(self, columns: int, limit: int = BROADCAST_BYTES) -> bool:
+        return self.key_bytes + self.rows * columns * VALUE_BYTES <= limit
+
+
+def measure(table: DataFrame, key: str) -> Size:
+    row = table.agg(F.count("*").alias("rows"), F.sum(F.octet_length(key)).alias("bytes")).first()
+    return Size(row.rows, row.bytes or 0)
+
+
 def lookup_join(
     facts: DataFrame,
     table: DataFrame,
@@ -19,20 +39,19 @@ def lookup_join(
     spread: str,
     weight: str,
     how: str = "left",
-    rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    size: Size | None = None,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``facts`` with a table holding one row per ``key``.
 
-    ``rows`` is the counted size of the table. Up to ``broadcast_rows`` it is
-    sent to every task and ``facts`` is not shuffled. A larger table is joined
-    by shuffle; keys whose ``weight`` in the table shows them to be hot are
-    dealt over several partitions by a hash of ``spread``, with their few table
-    rows repeated.
+    A table whose measured ``size`` fits the limit is sent to every task and
+    ``facts`` is not shuffled. A larger table is joined by shuffle; keys whose
+    ``weight`` in the table shows them to be hot are dealt over several
+    partitions by a hash of ``spread``, with their few table rows repeated.
     """
-    if rows is None:
-        rows = table.count()
-    if rows <= broadcast_rows:
+    if size is None:
+        size = measure(table, key)
+    if size.fits(len(table.columns), limit):
         return facts.join(F.broadcast(table), key, how)
     total = table.agg(F.sum(weight)).scalar()
     hot = table.where(F.col(weight) * HOT_SHARE > total).select(

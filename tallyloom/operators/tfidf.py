@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.naive_bayes import counted
 from tallyloom.operators.ranking import ordered_index
-from tallyloom.operators.skew import BROADCAST_ROWS, lookup_join
+from tallyloom.operators.skew import BROADCAST_BYTES, Size, lookup_join, measure
 from tallyloom.session import materialize
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """``(token, df, idf)`` of the training documents and its number of rows."""
+    """``(token, df, idf)`` of the training documents and its measured size."""
 
     table: DataFrame
-    rows: int
+    size: Size
 
 
 def fit_idf(docs: DataFrame, tokens: Column, documents: int) -> Vocabulary:
@@ -33,14 +33,14 @@ def fit_idf(docs: DataFrame, tokens: Column, documents: int) -> Vocabulary:
     df = docs.select(F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
     idf = F.ln(F.lit(1.0 + documents) / (F.col("df") + 1)) + 1
     table = materialize(df.select("token", "df", idf.alias("idf")), "vocabulary")
-    return Vocabulary(table, table.count())
+    return Vocabulary(table, measure(table, "token"))
 
 
 def transform(
-    counts: DataFrame, vocabulary: Vocabulary, row_id: str, extra: tuple[str, ...] = (), broadcast_rows: int = BROADCAST_ROWS
+    counts: DataFrame, vocabulary: Vocabulary, row_id: str, extra: tuple[str, ...] = (), limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``(row_id, *extra, token, w)``: weights scaled to unit length per document; unknown tokens drop out."""
-    joined = lookup_join(counts, vocabulary.table, "token", row_id, "df", "inner", vocabulary.rows, broadcast_rows)
+    joined = lookup_join(counts, vocabulary.table, "token", row_id, "df", "inner", vocabulary.size, limit)
     weighted = joined.withColumn("w", F.col("m") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(row_id)))
     return weighted.select(row_id, *extra, "token", (F.col("w") / norm).alias("w"))
@@ -48,18 +48,18 @@ def transform(
 
 # Largest vocabulary that is numbered exactly for dense weight vectors; beyond
 # it tokens share this many hashed places, so that a weight vector stays bounded.
-MAX_PLACES = 1 << 20
+MAX_PLACES = 1 << 18
 
 
 def numbered(vocabulary: Vocabulary, places: int = MAX_PLACES) -> tuple[Vocabulary, int]:
     """The vocabulary with a place ``idx`` per token, and the number of places."""
-    if vocabulary.rows <= places:
-        return Vocabulary(ordered_index(vocabulary.table, "token", out="idx"), vocabulary.rows), vocabulary.rows
+    if vocabulary.size.rows <= places:
+        return Vocabulary(ordered_index(vocabulary.table, "token", out="idx"), vocabulary.size), vocabulary.size.rows
     hashed = vocabulary.table.withColumn("idx", F.pmod(F.xxhash64("token"), F.lit(places)))
-    return Vocabulary(hashed, vocabulary.rows), places
+    return Vocabulary(hashed, vocabulary.size), places
 
 
-def packed(tokens: DataFrame, vocabulary: Vocabulary, row_id: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def packed(tokens: DataFrame, vocabulary: Vocabulary, row_id: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """One row per document with arrays ``idx`` and ``val``; needs a numbered vocabulary.
 
     ``tokens`` are occurrences. With a broadcast vocabulary they are summed up
@@ -67,8 +67,8 @@ def packed(tokens: DataFrame, vocabulary: Vocabulary, row_id: str, broadcast_row
     A list never outgrows the text of its own document.
     """
     tokens = tokens.select(row_id, "token")
-    counts = tokens.withColumn("m", F.lit(1)) if vocabulary.rows <= broadcast_rows else counted(tokens)
-    joined = lookup_join(counts, vocabulary.table, "token", row_id, "df", "inner", vocabulary.rows, broadcast_rows)
+    counts = tokens.withColumn("m", F.lit(1)) if vocabulary.size.fits(len(vocabulary.table.columns), limit) else counted(tokens)
+    joined = lookup_join(counts, vocabulary.table, "token", row_id, "df", "inner", vocabulary.size, limit)
     per_place = joined.groupBy(row_id, "idx").agg(F.sum(F.col("m") * F.col("idf")).alias("w"))
     lists = per_place.groupBy(row_id).agg(
         F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("_p"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm")

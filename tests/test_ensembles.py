@@ -51,7 +51,7 @@ def test_packed_rows_and_hashed_places(spark):
     vocabulary = tfidf.fit_idf(docs, words, docs.count())
     tokens = occurrences(docs, "row", words)
     exact, places = tfidf.numbered(vocabulary)
-    assert places == vocabulary.rows
+    assert places == vocabulary.size.rows
     names = {r.idx: r.token for r in exact.table.collect()}
     got = {(r.row, names[i]): v for r in tfidf.packed(tokens, exact, "row").collect() for i, v in zip(r.idx, r.val)}
     assert got == pytest.approx(plain_tfidf())
@@ -235,7 +235,7 @@ def test_encoding_with_unknown_tokens(spark, limit):
     ids = Q.build_ids(train)
     assert {r.token: r.token_id for r in ids.table.collect()} == {"a": 2, "b": 3, "c": 4}
     text = spark.createDataFrame([(1, 0, "c"), (1, 1, "new"), (1, 2, "a")], "row long, pos int, token string")
-    assert Q.as_arrays(Q.encode(text, ids, "row", broadcast_rows=limit), "row").first().input_ids == [4, 1, 2]
+    assert Q.as_arrays(Q.encode(text, ids, "row", limit=limit), "row").first().input_ids == [4, 1, 2]
 
 
 def test_truncation_and_padding(spark):

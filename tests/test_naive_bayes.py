@@ -44,7 +44,7 @@ def test_saved_model_is_loaded_again(spark, tmp_path):
     docs, tokens, runs = inputs(spark)
     nb.fit(docs, tokens, "label", ("ham", "spam"), runs, str(tmp_path / "m"))
     model = nb.load(spark, str(tmp_path / "m"), ("ham", "spam"))
-    assert model.rows == 3 and model.totals == {"n_0_0": 3, "n_0_1": 2} and model.documents == {"n_0_0": 2, "n_0_1": 1}
+    assert model.size.rows == 3 and model.size.key_bytes == 3 and model.totals == {"n_0_0": 3, "n_0_1": 2} and model.documents == {"n_0_0": 2, "n_0_1": 1}
 
 
 def test_class_without_documents_is_never_chosen(spark):

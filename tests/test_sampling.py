@@ -139,5 +139,5 @@ def test_lookup_join_with_a_hot_key(spark, how):
     facts = spark.range(9000).select(F.col("id").alias("row"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 4000)).alias("token"))
     table = facts.groupBy("token").agg(F.count("*").alias("n")).where("token <> 'k5'").withColumn("v", F.crc32("token"))
     plain = facts.join(table, "token", how).select("row", "token", "v")
-    salted = lookup_join(facts, table, "token", "row", "n", how, broadcast_rows=0).select("row", "token", "v")
+    salted = lookup_join(facts, table, "token", "row", "n", how, limit=0).select("row", "token", "v")
     assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)

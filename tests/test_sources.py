@@ -77,9 +77,9 @@ def test_word_tokens_are_unicode_words(spark):
 
 def test_tab_separated_rows(spark, tmp_path):
     path = tmp_path / "r.tsv"
-    path.write_text('a\tb\tc\n1\t2\t3\n1\t2\n1\t2\t3\t4\n 1\t"x\t\t\n\n')
+    path.write_text('a\tb\tc\n1\t2\t3\n1\t2\n1\t2\t3\t4\n 1\t"x\t\t\n\na\tb\tc\n')
     rows = [tuple(r) for r in S.read_tab_separated(spark, str(path)).collect()]
-    assert rows == [("1", "2", "3"), ("1", "2", None), ("1", "2", "3"), ("1", '"x', None), ("", None, None)]
+    assert rows == [("1", "2", "3"), ("1", "2", None), ("1", "2", "3"), ("1", '"x', None), ("", None, None), ("a", "b", "c")]
 
 
 def test_json_array_file(spark, tmp_path):
