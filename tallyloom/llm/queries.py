@@ -11,8 +11,10 @@ from tallyloom.llm.curve_search import curve_neighbours
 from tallyloom.llm.embedding_dedup import near_duplicate_vectors
 from tallyloom.llm.minhash_forest import near_duplicate_texts
 from tallyloom.llm.packing import packed_pieces
+from tallyloom.llm.quality_votes import quality_scores
 from tallyloom.llm.source_mix import mix_report
 from tallyloom.llm.suffix_dedup import removal_report
+from tallyloom.llm.toxicity import toxicity_scores
 from tallyloom.llm.warc_archive import archive_round_trip
 
 
@@ -54,6 +56,14 @@ def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(read_table(spark, sf_dir, "pages")).drop("url")
 
 
+def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(read_table(spark, sf_dir, "documents"))
 
@@ -72,6 +82,8 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_minhash_forest": op4_minhash_forest,
     "op5_warc_archive": op5_warc_archive,
+    "op6_quality_votes": op6_quality_votes,
+    "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
     "op9_curve_search": op9_curve_search,
     "op10_source_mix": op10_source_mix,
