@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,38 +120,44 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     break
 
 
-DECIDED = "fp bigint, ctx bigint, span int, before int, bits binary, k1 array<bigint>, k2 array<bigint>"
+CONTEXT_KINDS = "fp bigint, ctx bigint, span int, before int"
+DECIDED = f"{CONTEXT_KINDS}, first int, last int, salt bigint, weight bigint, k1 array<bigint>, k2 array<bigint>"
 
 
 def _shard(key, group: pd.DataFrame) -> pd.DataFrame:
-    """Repeated starts of a shard's contexts, from its suffix array.
+    """Runs of repeated starts of a shard's contexts, from its suffix array.
 
-    A context counts as often as it occurs. In a split shard every start is
-    returned with the hash of its string instead, in suffix order of the shard's rows.
+    A context counts as often as it occurs. A split shard returns one row per
+    context with the hashes of all its strings instead.
     """
-    split = bool(key[0])
+    # Equal rows of the documents yield equal contexts; their number is in the weight.
+    group = group.drop_duplicates(CONTEXT).reset_index(drop=True)
     bodies = group["body"].tolist()
     lengths = np.array([len(b) for b in bodies], np.int64)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     data = np.frombuffer(b"".join(bodies), np.uint8)
     span = group["span"].to_numpy().astype(np.int64)
-    out = group[CONTEXT].copy()
     kept, shared = common_prefixes(data, starts, lengths, suffix_array(data), LENGTH)
     classes = np.cumsum(shared < LENGTH) - 1
-    context = np.searchsorted(starts, kept, "right") - 1
-    weight = np.bincount(classes, group["weight"].to_numpy()[context])
-    marked = np.zeros(len(data), bool)
-    marked[kept] = weight[classes] >= 2
-    out["bits"] = [np.packbits(marked[s : s + n]).tobytes() for s, n in zip(starts, span)]
-    out["k1"] = out["k2"] = None
-    if split:
+    if key[0]:
+        # One hash per class of equal strings, handed to all its starts.
+        sample = kept[np.flatnonzero(shared < LENGTH)]
         hashes = []
         for base in BASES:
-            rolling = _Rolling(data, base)
-            hashes.append([rolling(s + np.arange(n), s + np.arange(n) + LENGTH).view(np.int64) for s, n in zip(starts, span)])
-        out["k1"], out["k2"] = hashes
-        return out
-    return out[[any(b) for b in out["bits"]]]
+            own = np.zeros(len(data), np.int64)
+            own[kept] = _Rolling(data, base)(sample, sample + LENGTH).view(np.int64)[classes]
+            hashes.append([own[s : s + n] for s, n in zip(starts, span)])
+        return group[[*CONTEXT, "weight"]].assign(first=0, last=-1, salt=key[2], k1=hashes[0], k2=hashes[1])
+    context = np.searchsorted(starts, kept, "right") - 1
+    weight = np.bincount(classes, group["weight"].to_numpy()[context])
+    # The last 199 bytes of a context start nothing, so runs of two contexts never touch.
+    marked = np.zeros(len(data) + 2, np.int8)
+    marked[1 + kept[weight[classes] >= 2]] = 1
+    edges = np.diff(marked)
+    first, last = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) - 1
+    rows = np.searchsorted(starts, first, "right") - 1
+    out = group[[*CONTEXT, "weight"]].iloc[rows].reset_index(drop=True)
+    return out.assign(first=first - starts[rows], last=last - starts[rows], salt=key[2], k1=None, k2=None)
 
 
 def _merge(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,39 +184,50 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
         runs = [_merge(*runs[i : i + 2]) if len(runs[i : i + 2]) == 2 else runs[i] for i in range(0, len(runs), 2)]
     found, counts = runs[0]
     twice = counts[np.searchsorted(found, ranks)] >= 2
-    return group.loc[twice, [*CONTEXT, "i"]]
+    return group.loc[twice, CONTEXT].assign(first=group.loc[twice, "i"], last=group.loc[twice, "i"])
 
 
-def _covered(text: bytes, marks) -> np.ndarray:
-    change = np.zeros(len(text) + 1, np.int32)
-    for mark in marks:
-        if mark["bits"] is not None:
-            rows = np.flatnonzero(np.unpackbits(np.frombuffer(mark["bits"], np.uint8)))
-        else:
-            rows = np.asarray(mark["starts"], np.int64)
-        rows = np.unique(rows + mark["lo"])
-        change[rows] += 1
-        change[rows + LENGTH] -= 1
-    return np.cumsum(change[:-1]) > 0
+def _covered(offsets: np.ndarray, text: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Bytes of joined texts that strings starting at ``first`` to ``last`` of a text cover."""
+    size = int(offsets[-1])
+    opened = np.bincount(offsets[text] + first, minlength=size + 1)
+    closed = np.bincount(offsets[text] + last + LENGTH, minlength=size + 1)
+    return np.cumsum(opened - closed)[:size] > 0
 
 
 def _cut(names: list[str], with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")}
-            for value, marks in zip(batch.column("_text"), batch.column("_marks")):
-                text = (value.as_py() or "").encode()
-                gone = _covered(text, marks.as_py() or [])
-                left = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                out["n_bytes"].append(len(text))
-                out["n_removed"].append(int(gone.sum()))
-                out["n_spans"].append(int((gone & ~np.append(False, gone[:-1])).sum()) if len(gone) else 0)
-                out["kept_sha256"].append(hashlib.sha256(left).hexdigest())
-                out["kept_text"].append(left.decode("utf-8", "ignore") if with_text else None)
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2
-            yield pa.record_batch(
-                [batch.column(n) for n in names] + [pa.array(v, k) for v, k in zip(out.values(), kinds)], [*names, *out]
-            )
+            marks = batch.column("_marks")
+            counts = np.nan_to_num(pc.list_value_length(marks).to_numpy(zero_copy_only=False)).astype(np.int64)
+            bounds = np.concatenate([[0], np.cumsum(counts)])
+            runs = marks.flatten()
+            firsts, lasts = (runs.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("a", "b"))
+            for low, high, data, offsets in text_chunks(batch.column("_text")):
+                own = slice(bounds[low], bounds[high])
+                text = np.repeat(np.arange(high - low), counts[low:high])
+                gone = _covered(offsets, text, firsts[own], lasts[own])
+                before = np.concatenate([[0], np.cumsum(gone)])
+                opens = gone.copy()
+                opens[1:] &= ~gone[:-1]
+                edges = offsets[:-1][offsets[:-1] < len(data)]
+                opens[edges] = gone[edges]
+                spans = np.concatenate([[0], np.cumsum(opens)])
+                left = memoryview(data[~gone].tobytes())
+                ends = offsets - before[offsets]
+                texts = [left[a:b] for a, b in zip(ends[:-1], ends[1:])]
+                part = batch.slice(low, high - low)
+                yield pa.record_batch(
+                    [
+                        *(part.column(n) for n in names),
+                        pa.array(np.diff(offsets)),
+                        pa.array(np.diff(before[offsets])),
+                        pa.array(np.diff(spans[offsets])),
+                        pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+                        pa.array([str(t, "utf-8", "ignore") if with_text else None for t in texts], pa.string()),
+                    ],
+                    [*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
+                )
 
     return run
 
@@ -237,35 +255,27 @@ def _repeated_strings(rows: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]
     body = F.substring(F.col("text").cast("binary"), (F.col("lo") + 1).cast("int"), size.cast("int"))
     # Equal rows of the documents have the same id and tag; one of them is enough.
     bodies = dealt.join(rows, ["id", "tag"]).select(*CONTEXT, "weight", "split", "part", "salt", body.alias("body"))
-    decided, decided_path = keep(
-        bodies.groupBy("split", "part", "salt").applyInPandas(_shard_of_any, DECIDED + ", salt bigint, weight bigint, split boolean"), "decided"
-    )
+    decided, decided_path = keep(bodies.groupBy("split", "part", "salt").applyInPandas(_shard, DECIDED), "decided")
     return near, decided, [near_path, contexts_path, decided_path]
 
 
-def _shard_of_any(key, group: pd.DataFrame) -> pd.DataFrame:
-    group = group.drop_duplicates(CONTEXT).reset_index(drop=True)
-    out = _shard(key, group)
-    return out.assign(salt=key[2], weight=group["weight"].loc[out.index], split=bool(key[0]))
-
-
 def _marks(rows: DataFrame) -> DataFrame:
-    """``(id, tag, marks)``: the repeated starts of each text, in pieces."""
+    """``(id, tag, _marks)``: runs of repeated starts of each text."""
     near, decided, _ = _repeated_strings(rows)
-    plain = decided.where("not split").select(*CONTEXT, "bits", F.lit(None).cast("array<int>").alias("starts"))
-    strings = decided.where("split").select(*CONTEXT, "salt", "weight", F.posexplode(F.arrays_zip("k1", "k2")).alias("i", "k"))
-    strings = strings.select(*CONTEXT, "salt", "weight", "i", "k.k1", "k.k2")
-    if not decided.where("split").isEmpty():
-        count = strings.count()
+    runs = decided.where("k1 is null").select(*CONTEXT, "first", "last")
+    split = decided.where("k1 is not null")
+    strings = split.select(*CONTEXT, "salt", "weight", F.posexplode(F.arrays_zip("k1", "k2")).alias("i", "k"))
+    count = split.agg(F.sum(F.size("k1")).alias("n")).first().n
+    if count:
         merged = (
-            strings.withColumn("range", F.pmod("k1", F.lit(max(1, -(-count // MERGE_ROWS)))))
+            strings.select(*CONTEXT, "salt", "weight", "i", "k.k1", "k.k2")
+            .withColumn("range", F.pmod("k1", F.lit(-(-count // MERGE_ROWS))))
             .groupBy("range")
-            .applyInPandas(_merged, "fp bigint, ctx bigint, span int, before int, i int")
+            .applyInPandas(_merged, f"{CONTEXT_KINDS}, first int, last int")
         )
-        lists = merged.groupBy(*CONTEXT).agg(F.collect_set("i").alias("starts"))
-        plain = plain.union(lists.select(*CONTEXT, F.lit(None).cast("binary").alias("bits"), "starts"))
-    marks = near.join(plain, CONTEXT).groupBy("id", "tag").agg(F.collect_list(F.struct("lo", "bits", "starts")).alias("_marks"))
-    return marks
+        runs = runs.union(merged)
+    runs = near.join(runs, CONTEXT).select("id", "tag", (F.col("lo") + F.col("first")).alias("a"), (F.col("lo") + F.col("last")).alias("b"))
+    return runs.groupBy("id", "tag").agg(F.collect_list(F.struct("a", "b")).alias("_marks"))
 
 
 def _cut_rows(documents: DataFrame, row_id: str, text: str, carried: list[str], with_text: bool) -> DataFrame:
