@@ -86,7 +86,9 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 
 
 def connected_components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
-    """``(id, component)`` of every id on a link; the component is its smallest id.
+    """``(id, component)`` of linked ids; a component is named by its smallest id.
+
+    That id itself has no row, nor has an id without links.
 
     Alternates two star steps: each node hands its larger neighbours, then its
     smaller ones, to the smallest neighbour it knows. Neighbourhoods are only
