@@ -19,8 +19,9 @@ TREES, DEPTH = 16, 8
 # Shortest common prefix of two labels that makes neighbours candidates. Texts at
 # a similarity of 0.8 share it in at least one of 16 orders with probability 0.9998.
 LEAST_PREFIX = 4
-# Rows of a sorted order that a row is compared with on either side.
-WINDOW = 24
+# Rows of a sorted order that a row is compared with on either side; larger regions
+# are compared in full once their families of copies are connected.
+WINDOW = 2
 # Sorted rows, and rows of a dense region, that one task holds.
 BLOCK, REGION_BLOCK = 8_192, 512
 # Of 128 values, a similarity of 0.8 leaves fewer than this equal once in 2,000,000 pairs.
@@ -116,6 +117,12 @@ def _cross_pairs(percent: int):
         one, two = np.flatnonzero(block == low), np.flatnonzero(block == high)
         met = (component[one][:, None] != component[two][None, :]) & _sizes_allow(size[one][:, None], size[two][None, :], percent)
         i, j = np.nonzero(met)
+        signs = np.frombuffer(b"".join(group["sig"]), np.uint16).reshape(len(group), -1)
+        alike = [np.zeros(0, bool)]
+        for first in range(0, len(i), 1 << 15):
+            a, b = one[i[first : first + (1 << 15)]], two[j[first : first + (1 << 15)]]
+            alike.append((signs[a] == signs[b]).sum(axis=1) >= LEAST_EQUAL)
+        i, j = i[np.concatenate(alike)], j[np.concatenate(alike)]
         return pd.DataFrame({"a": np.minimum(ids[one[i]], ids[two[j]]), "b": np.maximum(ids[one[i]], ids[two[j]])}).drop_duplicates()
 
     return run
@@ -158,7 +165,7 @@ class _Forest:
 
 
 def _dense_rest(forest: _Forest, placed: DataFrame, components: DataFrame) -> DataFrame | None:
-    """Pairs of unconnected texts of one region beyond the window, block by block."""
+    """Likely pairs of unconnected texts of one region beyond the window, block by block."""
     region = ["tree", "high"]
     dense, _ = keep(
         placed.groupBy(*region).agg(F.count("*").alias("n"), F.min("idx").alias("first")).where(F.col("n") > WINDOW + 1), "dense"
@@ -169,11 +176,12 @@ def _dense_rest(forest: _Forest, placed: DataFrame, components: DataFrame) -> Da
     mixed_regions = rows.groupBy(*region).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     dealt = (
         rows.join(mixed_regions, region, "left_semi")
+        .join(forest.reps.select("id", "sig"), "id")
         .withColumn("block", F.floor((F.col("idx") - F.col("first")) / REGION_BLOCK))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / REGION_BLOCK))))
         .withColumn("left", F.least("block", "other"))
         .withColumn("right", F.greatest("block", "other"))
-        .select(*region, "left", "right", "block", "id", "size", "component")
+        .select(*region, "left", "right", "block", "id", "size", "component", "sig")
     )
     return dealt.groupBy(*region, "left", "right").applyInPandas(_cross_pairs(forest.percent), "a bigint, b bigint").distinct()
 
@@ -190,12 +198,12 @@ def near_duplicate_texts(
 
     Texts with equal shingle sets are one class, of which the smallest id goes
     on. The classes are sorted in 16 orders by labels of eight MinHash values.
-    In each order a text meets its neighbours with the longest common prefix: up
-    to 24 on either side, as long as four values agree. In a sparse region
-    these are all texts that share four values; the denser a region, the deeper
-    the prefix its neighbours share. Texts of dense regions that are still not
+    In each order a text meets its neighbours with the longest common prefix: two
+    on either side, as long as four values agree. In a region of up to three
+    texts these are all that share four values; the denser a region, the deeper
+    the prefix its neighbours share. Texts of larger regions that are still not
     connected after verification are then compared block by block, so the
-    window cuts nothing off.
+    window cuts nothing off, and a family of copies is never listed in pairs.
 
     Links are confirmed on full shingle sets. Each text's likeliest partner is
     verified first and then only pairs whose ends are not connected, so a
@@ -226,7 +234,7 @@ def near_duplicate_texts(
     components = connected_components(links)
     rest = _dense_rest(forest, placed, components)
     if rest is not None:
-        final, _ = keep(forest.verified(forest.likely(rest)), "verified")
+        final, _ = keep(forest.verified(rest), "verified")
         if not final.isEmpty():
             components = connected_components(links.union(final))
     drop(forest.spark, placed_path, likely_path)

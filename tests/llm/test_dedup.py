@@ -140,7 +140,7 @@ def test_near_texts_with_odd_rows(spark):
 def test_dense_regions_are_compared_beyond_the_window(spark, monkeypatch):
     import tallyloom.llm.minhash_forest as module
 
-    monkeypatch.setattr(module, "WINDOW", 2)
+    monkeypatch.setattr(module, "REGION_BLOCK", 16)
     rng = np.random.default_rng(2)
     words = [f"t{i}" for i in range(120)]
     rows = []
