@@ -27,16 +27,16 @@ ids AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 1 AS token_id
 ENCODED = f"""{IDS}, enc AS (SELECT p.doc_id, p.pos, coalesce(i.token_id, 1) AS token_id FROM pos p LEFT JOIN ids i ON i.token = p.token)"""
 
 PROBS = f"""{SPLIT},
-tr AS (SELECT doc_id, overall, summary,
+tr AS (SELECT doc_id, overall, text,
   row_number() OVER (ORDER BY md5(concat(doc_id, ':2022')), doc_id) - 1 AS ra,
   row_number() OVER (ORDER BY md5(concat(doc_id, ':2023')), doc_id) - 1 AS rb,
   CAST(floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS BIGINT) AS m FROM split WHERE NOT is_test),
-runs AS (SELECT 'a' AS model, doc_id, overall, summary FROM tr WHERE ra < m
-  UNION ALL SELECT 'b', doc_id, overall, summary FROM tr WHERE rb < m),
+runs AS (SELECT 'a' AS model, doc_id, overall, text FROM tr WHERE ra < m
+  UNION ALL SELECT 'b', doc_id, overall, text FROM tr WHERE rb < m),
 prior AS (SELECT model, overall AS cls, count(*) / sum(count(*)) OVER (PARTITION BY model) AS p FROM runs GROUP BY model, overall),
-tok AS (SELECT model, overall AS cls, unnest({WORDS.format(col='summary')}) AS token FROM runs),
+tok AS (SELECT model, overall AS cls, unnest({WORDS.format(col='text')}) AS token FROM runs),
 freq AS (SELECT model, cls, token, count(*) / sum(count(*)) OVER (PARTITION BY model, cls) AS p FROM tok GROUP BY model, cls, token),
-tests AS (SELECT doc_id, overall, unnest({WORDS.format(col='summary')}) AS token FROM split WHERE is_test),
+tests AS (SELECT doc_id, overall, unnest({WORDS.format(col='text')}) AS token FROM split WHERE is_test),
 sums AS (SELECT t.doc_id, p.model, p.cls, sum(ln(coalesce(f.p, 1e-10))) AS s FROM tests t CROSS JOIN prior p
   LEFT JOIN freq f ON f.model = p.model AND f.cls = p.cls AND f.token = t.token GROUP BY ALL),
 scores AS (SELECT d.doc_id, d.overall, p.model, p.cls, ln(p.p) + coalesce(s.s, 0) AS s FROM (SELECT * FROM split WHERE is_test) d

@@ -18,7 +18,8 @@ from tallyloom.session import materialize, scratch
 
 SEED = 2021
 K = 10
-STEPS = 3
+# The loop ends when no vector changes its cluster, and at this many steps at the latest.
+STEPS = 300
 K_RANGE = tuple(range(5, 20))
 
 

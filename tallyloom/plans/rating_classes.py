@@ -107,14 +107,14 @@ def pad_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, overall, model, scores)``: naive-Bayes scores of five classes by two models.
 
-    The summaries are the text; both models are counted and scored in one job.
+    The text is summary, separator and review; both models are counted and scored in one job.
     """
-    docs = split_reviews(spark, sf_dir)
+    docs = paired(split_reviews(spark, sf_dir))
     train = docs.where(~F.col("is_test"))
     for name, seed in MODEL_SEEDS.items():
         docs = sampling.rate_part(docs, "doc_id", [SHARE], seed, f"part_{name}", train)
     keep = ["overall", "is_test", *[f"part_{n}" for n in MODEL_SEEDS]]
-    tokens = nb.occurrences(docs, "doc_id", T.word_tokens(F.col("summary")), keep)
+    tokens = nb.occurrences(docs, "doc_id", T.word_tokens(F.col("text")), keep)
     is_test = F.col("is_test")
     runs = [nb.Variant(n, ~is_test & (F.col(f"part_{n}") == 0), is_test) for n in MODEL_SEEDS]
     model = nb.fit(docs, tokens, "overall", RATINGS, runs)
