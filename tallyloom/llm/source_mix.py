@@ -86,8 +86,9 @@ def mixing_plan(documents: DataFrame, weights: tuple[int, ...], seed: int) -> tu
     docs, docs_path = keep(_sized(documents).select("doc_id", "source", "size", cell.alias("cell")), "sizes")
     sizes = docs.groupBy("source").agg(F.sum("size").cast("bigint").alias("source_size"))
     plan = source_targets(sizes, weights)
-    slots = F.round(F.col("target") / BLOCK_WORDS).cast("bigint")
     blocks = F.ceil(F.col("source_size") / BLOCK_WORDS).cast("bigint")
+    # A source's last block may be short, so its blocks hold fewer words on average.
+    slots = F.coalesce(F.round(F.col("target") * F.col("blocks") / F.nullif("source_size", F.lit(0))).cast("bigint"), F.lit(0))
     plan, plan_path = keep(
         plan.withColumn("blocks", blocks).withColumn("quota", F.least(slots, F.col("blocks") * MOST_EPOCHS)), "targets"
     )
