@@ -86,6 +86,30 @@ votes AS (SELECT t.doc_id, m.model_id, m.slope * t.x + m.intercept AS pred, m.we
 cum AS (SELECT doc_id, pred, sum(weight) OVER (PARTITION BY doc_id ORDER BY pred, model_id) AS c,
         sum(weight) OVER (PARTITION BY doc_id) AS a FROM votes)"""
 
+def tree(depth: int, steps: int = 64) -> str:
+    """A regression tree grown on all training reviews, one level after the other; test reviews walk along."""
+    parts = [
+        IDF,
+        f"""cells AS MATERIALIZED (SELECT doc_id, is_train, token, least(greatest(CAST(ceil(round(m * idf / norm * {steps}, 6)) AS INTEGER), 1), {steps}) AS step
+  FROM (SELECT tf.*, idf, sqrt(sum(m * idf * m * idf) OVER (PARTITION BY doc_id)) AS norm FROM tf JOIN idf ON idf.token = tf.token))""",
+        "at0 AS MATERIALIZED (SELECT doc_id, is_train, CAST(overall AS DOUBLE) AS y, CAST(1 AS BIGINT) AS node, TRUE AS open, CAST(NULL AS DOUBLE) AS pred FROM split)",
+    ]
+    for i in range(depth + 1):
+        parts.append(
+            f"""whole{i} AS MATERIALIZED (SELECT node, count(*)::DOUBLE AS n, sum(y) AS s, min(y) < max(y) AS mixed FROM at{i} WHERE is_train AND open GROUP BY node),
+right{i} AS (SELECT node, token, step, sum(sum(1.0::DOUBLE)) OVER above AS nr, sum(sum(y)) OVER above AS sr
+  FROM at{i} a JOIN cells c ON c.doc_id = a.doc_id WHERE a.is_train AND open GROUP BY node, token, step
+  WINDOW above AS (PARTITION BY node, token ORDER BY step DESC)),
+best{i} AS MATERIALIZED (SELECT node, token, step FROM right{i} JOIN whole{i} USING (node) WHERE mixed AND nr < n AND {i} < {depth}
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY sr * sr / nr + (s - sr) * (s - sr) / (n - nr) DESC, token, step) = 1),
+at{i + 1} AS MATERIALIZED (SELECT a.doc_id, a.is_train, a.y, a.open AND b.node IS NOT NULL AS open, CASE WHEN a.open THEN s / n ELSE a.pred END AS pred,
+    CASE WHEN a.open AND b.node IS NOT NULL THEN 2 * a.node + CASE WHEN c.step >= b.step THEN 1 ELSE 0 END ELSE a.node END AS node
+  FROM at{i} a LEFT JOIN whole{i} w ON w.node = a.node LEFT JOIN best{i} b ON b.node = a.node
+  LEFT JOIN cells c ON c.doc_id = a.doc_id AND c.token = b.token)"""
+        )
+    return ",\n".join(parts) + f" SELECT doc_id, y, pred FROM at{depth + 1} WHERE NOT is_train"
+
+
 FLAT = r"regexp_replace({col}, '\s+', ' ', 'g')"
 EMPTY = "CAST(NULL AS VARCHAR)"
 
@@ -112,6 +136,7 @@ SQL = {
     "boost_reweight": f"WITH {boosted(1)} SELECT doc_id, round(w * 1000, 6) AS w FROM w1",
     "weighted_votes": f"WITH {VOTES} SELECT doc_id, model_id, round(pred, 6) AS pred, round(weight, 6) AS weight FROM votes",
     "weighted_median": f"WITH {VOTES} SELECT doc_id, round(min(pred), 6) AS pred FROM cum WHERE c >= 0.5 * a GROUP BY doc_id",
+    "tree_regressor": f"WITH {tree(20)}",
     "json_roundtrip": f"""WITH {REVIEWS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, overall, summary, md5(review) AS review_md5 FROM reviews""",
     "tsv_scan": f"""WITH {REVIEWS}, f AS (SELECT doc_id, {FLAT.format(col='review')} AS flat,
         trim({FLAT.format(col='summary')}) AS summary, overall FROM reviews),

@@ -9,16 +9,14 @@ minimum, so this saves passes only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import materialize
@@ -55,37 +53,147 @@ class LineLearner:
         return [fitted[i] for i in range(models)]
 
 
-# Estimator runs submitted at the same time.
-PARALLEL_FITS = 4
+def _flat(idx: pd.Series, val: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells per row, and places and values of all rows of a batch one after the other; null is no cells."""
+    rows = [np.asarray(i if i is not None else [], dtype=np.int32) for i in idx]
+    vals = [np.asarray(v if v is not None else [], dtype=np.float64) for v in val]
+    counts = np.array([len(r) for r in rows], dtype=np.int64)
+    if not rows:
+        return counts, np.zeros(0, np.int32), np.zeros(0)
+    return counts, np.concatenate(rows), np.concatenate(vals)
+
+
+# Steps a weight in (0, 1] is rounded up to for the cuts of a tree; 0 means that the token is missing.
+BINS = 64
+# Nodes of one level that are sent to all tasks (about 10 MB); more are joined by shuffle.
+LEVEL_NODES = 1 << 18
 
 
 @dataclass(frozen=True)
 class TreeModel:
-    model: DecisionTreeRegressionModel
+    """A regression tree: node 1 is the root, nodes ``2n`` and ``2n + 1`` stand below node ``n``.
+
+    A row goes to ``2n + 1`` where its step at ``place`` exceeds ``cut``; ``place`` is -1 at a leaf.
+    The arrays are sorted by ``node``. A tree of depth d has fewer than ``2 ** (d + 1)`` nodes.
+    """
+
+    node: np.ndarray
+    place: np.ndarray
+    cut: np.ndarray
+    value: np.ndarray
+
+    @property
+    def depth(self) -> int:
+        return int(self.node.max()).bit_length() - 1
+
+    def walk(self, counts: np.ndarray, idx: np.ndarray, val: np.ndarray) -> np.ndarray:
+        """Values of the leaves that the rows of a batch reach, all rows one level at a time."""
+        width = int(max(idx.max(initial=0), self.place.max())) + 1
+        keys = np.repeat(np.arange(len(counts), dtype=np.int64), counts) * width + idx
+        order = np.argsort(keys)
+        keys, steps = keys[order], np.clip(np.ceil(np.round(val[order] * BINS, 6)), 1, BINS)
+        at = np.zeros(len(counts), np.int64)
+        going = np.arange(len(counts))
+        while len(going):
+            going = going[self.place[at[going]] >= 0]
+            here = at[going]
+            wanted = going * width + self.place[here]
+            met = np.searchsorted(keys, wanted)
+            step = np.zeros(len(going))
+            inside = met < len(keys)
+            inside[inside] = keys[met[inside]] == wanted[inside]
+            step[inside] = steps[met[inside]]
+            at[going] = np.searchsorted(self.node, 2 * self.node[here] + (step > self.cut[here]))
+        return self.value[at]
 
     def predict(self, df: DataFrame, out: str) -> DataFrame:
-        return self.model.copy({self.model.predictionCol: out}).transform(df)
+        shared = df.sparkSession.sparkContext.broadcast(self)
+
+        @F.pandas_udf("double")
+        def leaf(idx: pd.Series, val: pd.Series) -> pd.Series:
+            return pd.Series(shared.value.walk(*_flat(idx, val)))
+
+        return df.withColumn(out, leaf("idx", "val"))
+
+
+def _level(rows: DataFrame, few: bool, last: bool) -> DataFrame:
+    """``(model_id, node, n, s, place, cut)`` of the nodes that ``rows`` stand in.
+
+    The cut leaves the smallest sum of squared errors on both sides, ties going
+    to the smaller place, then to the smaller step. Cells are summed per node,
+    place and step before they are shuffled; rows without the place are the rest
+    of the node, so zeros are never listed. Labels that are whole numbers keep
+    all sums exact. A node whose labels are all equal, or whose rows hold the same
+    cells, is a leaf. With ``few`` nodes their totals are broadcast.
+    """
+    node = ["model_id", "node"]
+    whole = rows.groupBy(*node).agg(F.sum("m").alias("n"), F.sum("my").alias("s"), (F.min("y") < F.max("y")).alias("mixed"))
+    if last:
+        return whole.select(*node, "n", "s", F.lit(None).cast("int").alias("place"), F.lit(None).cast("int").alias("cut"))
+    cells = (
+        rows.select(*node, "m", "my", F.explode(F.arrays_zip("idx", "steps")).alias("c"))
+        .groupBy(*node, F.col("c.idx").alias("place"), F.col("c.steps").alias("step"))
+        .agg(F.sum("m").alias("m"), F.sum("my").alias("my"))
+    )
+    above = Window.partitionBy(*node, "place").orderBy(F.desc("step"))
+    right = cells.select(*node, "place", "step", F.sum("m").over(above).alias("nr"), F.sum("my").over(above).alias("sr"))
+    open_nodes = whole.where("mixed")
+    sides = right.join(F.broadcast(open_nodes) if few else open_nodes, node).where("nr < n")
+    score = F.expr("sr * sr / nr + (s - sr) * (s - sr) / (n - nr)")
+    first = F.struct(score.alias("score"), (-F.col("place")).alias("place"), (-F.col("step")).alias("step"))
+    best = sides.groupBy(*node).agg(F.max(first).alias("b"))
+    best = best.select(*node, (-F.col("b.place")).alias("place"), (-F.col("b.step") - 1).cast("int").alias("cut"))
+    return whole.join(best, node, "left").select(*node, "n", "s", "place", "cut")
 
 
 @dataclass(frozen=True)
 class TreeLearner:
-    """Regression trees on the ``features`` vectors, one estimator run per model."""
+    """Regression trees over all places of packed features; all models grow level by level together.
+
+    A level is one pass over the rows that are not yet in a leaf. Weights are
+    rounded up to 64 steps, so a place has at most 64 cuts in a node.
+    """
 
     max_depth: int
-    seed: int = 0
 
     def fit(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near=None) -> list[TreeModel]:
-        sample = materialize(train.select(row_id, "features", label).join(draws, row_id), "tree-sample")
-        tree = DecisionTreeRegressor(
-            maxDepth=self.max_depth, labelCol=label, featuresCol="features", weightCol="multiplicity", seed=self.seed
+        def step(v: Column) -> Column:
+            return F.least(F.greatest(F.ceil(F.round(v * BINS, 6)), F.lit(1)), F.lit(BINS)).cast("int")
+
+        m = F.col("multiplicity").cast("double")
+        rows = train.select(row_id, "idx", "val", F.col(label).cast("double").alias("y")).join(draws, row_id).select(
+            "model_id", F.lit(1).cast("bigint").alias("node"), "y", m.alias("m"), (m * F.col("y")).alias("my"),
+            F.coalesce("idx", F.array().cast("array<int>")).alias("idx"),
+            F.coalesce(F.transform("val", step), F.array().cast("array<int>")).alias("steps"),
+        )
+        schema = "model_id int, node bigint, place int, cut int"
+        grown, nodes = [], models
+        for depth in range(self.max_depth + 1):
+            rows = materialize(rows, "tree-rows")
+            # A level has at most models * 2 ** depth nodes, and none without a row of its own.
+            level = _level(rows, nodes <= LEVEL_NODES, depth == self.max_depth).toPandas()
+            grown.append(level)
+            level = level[level["place"].notna()]
+            if level.empty:
+                break
+            nodes = 2 * len(level)
+            held = [tuple(int(v) for v in r) for r in level[["model_id", "node", "place", "cut"]].itertuples(index=False)]
+            cuts = train.sparkSession.createDataFrame(held, schema)
+            step_held = F.get("steps", (F.array_position("idx", F.col("place")) - 1).cast("int"))
+            up = F.when(F.coalesce(step_held, F.lit(0)) > F.col("cut"), 1).otherwise(0)
+            joined = rows.join(F.broadcast(cuts) if len(held) <= LEVEL_NODES else cuts, ["model_id", "node"])
+            rows = joined.withColumn("node", 2 * F.col("node") + up).drop("place", "cut")
+        table = pd.concat(grown)
+        table = table.assign(
+            place=table["place"].fillna(-1).astype(np.int64), cut=table["cut"].fillna(0).astype(np.int64), value=table["s"] / table["n"]
         )
-        weight = F.col("multiplicity").cast("double")
+        return trees_of(table, models)
 
-        def grow(i: int) -> TreeModel:
-            return TreeModel(tree.fit(sample.where(F.col("model_id") == i).withColumn("multiplicity", weight)))
 
-        with ThreadPool(min(models, PARALLEL_FITS)) as pool:
-            return pool.map(inheritable_thread_target(train.sparkSession)(grow), range(models))
+def trees_of(table: pd.DataFrame, models: int) -> list[TreeModel]:
+    """Trees from a table ``(model_id, node, place, cut, value)``."""
+    parts = [table[table["model_id"] == i].sort_values("node") for i in range(models)]
+    return [TreeModel(*(p[c].to_numpy() for c in ("node", "place", "cut", "value"))) for p in parts]
 
 
 @dataclass(frozen=True)
@@ -100,7 +208,9 @@ class VectorModel:
         @F.pandas_udf("double")
         def linear(idx: pd.Series, val: pd.Series) -> pd.Series:
             w = shared.value
-            return pd.Series([w[-1] + (0.0 if i is None else float(w[np.asarray(i)] @ np.asarray(v))) for i, v in zip(idx, val)])
+            counts, places, values = _flat(idx, val)
+            owner = np.repeat(np.arange(len(counts)), counts)
+            return pd.Series(w[-1] + np.bincount(owner, values * w[places], minlength=len(counts)))
 
         return df.withColumn(out, linear("idx", "val"))
 
@@ -112,17 +222,15 @@ def _blocks(models: int, label: str):
         for f in frames:
             if f.empty:
                 continue
-            rows = [np.asarray(i if i is not None else [], dtype=np.int32) for i in f["idx"]]
-            vals = [np.asarray(v if v is not None else [], dtype=np.float64) for v in f["val"]]
-            counts = np.array([len(r) for r in rows], dtype=np.int64)
+            counts, places, values = _flat(f["idx"], f["val"])
             weight = np.zeros((len(f), models))
-            for row, drawn in enumerate(f["drawn"]):
-                for d in drawn:
-                    weight[row, d["model_id"]] = d["multiplicity"]
+            drawn = [(row, d["model_id"], d["multiplicity"]) for row, ds in enumerate(f["drawn"]) for d in ds]
+            row, model, times = np.array(drawn, dtype=np.int64).reshape(-1, 3).T
+            weight[row, model] = times
             yield pd.DataFrame(
                 {
-                    "idx": [np.concatenate(rows).tobytes()],
-                    "val": [np.concatenate(vals).tobytes()],
+                    "idx": [places.tobytes()],
+                    "val": [values.tobytes()],
                     "counts": [counts.tobytes()],
                     "y": [f[label].to_numpy(np.float64).tobytes()],
                     "weight": [weight.tobytes()],
@@ -231,13 +339,14 @@ class SupportVectorLearner:
     The absolute error is smoothed to ``sqrt(r**2 + smooth**2)``. All models
     share every pass; a pass sends out one weight matrix of bounded size and
     brings back loss and gradient summed up. A model is finished when five steps
-    together gain less than ``tolerance`` of its objective.
+    together gain less than ``tolerance`` of its objective; ``fit`` fails when the
+    passes run out first.
     """
 
     places: int
     c: float = 1.0
     smooth: float = 0.05
-    passes: int = 80
+    passes: int = 400
     tolerance: float = 5e-3
 
     def descend(
@@ -263,7 +372,8 @@ class SupportVectorLearner:
             if direct:
                 loss, gradient = parts.reduce(_add)
             else:
-                loss, gradient = parts.treeReduce(_add)
+                # Four sums at a time, so that only a handful of gradients reach the driver.
+                loss, gradient = parts.treeReduce(_add, max(2, math.ceil(math.log(blocks.getNumPartitions(), 4))))
             shared.destroy()
             for m, state in enumerate(states):
                 if not state.done:
@@ -275,7 +385,10 @@ class SupportVectorLearner:
         return states
 
     def fit(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near=None) -> list[VectorModel]:
-        return [VectorModel(s.point) for s in self.descend(train, draws, row_id, label, models, near)]
+        states = self.descend(train, draws, row_id, label, models, near)
+        if not all(s.done for s in states):
+            raise RuntimeError(f"support-vector descent not finished after {self.passes} passes")
+        return [VectorModel(s.point) for s in states]
 
 
 def learner(name: str, *, max_depth: int | None = None, places: int | None = None):

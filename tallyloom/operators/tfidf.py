@@ -46,17 +46,15 @@ def transform(
     return weighted.select(row_id, *extra, "token", (F.col("w") / norm).alias("w"))
 
 
-# Largest vocabulary that is numbered exactly for dense weight vectors; beyond
-# it tokens share this many hashed places, so that a weight vector stays bounded.
-MAX_PLACES = 1 << 18
+def numbered(vocabulary: Vocabulary) -> tuple[Vocabulary, int]:
+    """The vocabulary with a place ``idx`` per token in the order of the tokens, and the number of places."""
+    return Vocabulary(ordered_index(vocabulary.table, "token", out="idx"), vocabulary.size), vocabulary.size.rows
 
 
-def numbered(vocabulary: Vocabulary, places: int = MAX_PLACES) -> tuple[Vocabulary, int]:
-    """The vocabulary with a place ``idx`` per token, and the number of places."""
-    if vocabulary.size.rows <= places:
-        return Vocabulary(ordered_index(vocabulary.table, "token", out="idx"), vocabulary.size), vocabulary.size.rows
-    hashed = vocabulary.table.withColumn("idx", F.pmod(F.xxhash64("token"), F.lit(places)))
-    return Vocabulary(hashed, vocabulary.size), places
+def narrowed(vocabulary: Vocabulary, tokens: DataFrame) -> Vocabulary:
+    """The part of the vocabulary that occurs in ``tokens``; frequencies stay those of all documents."""
+    table = materialize(vocabulary.table.join(tokens.select("token").distinct(), "token", "left_semi"), "vocabulary")
+    return Vocabulary(table, measure(table, "token"))
 
 
 def packed(tokens: DataFrame, vocabulary: Vocabulary, row_id: str, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -20,7 +20,8 @@ MODELS = 5
 RATIO = 0.8
 ROUNDS = 3
 MAX_DEPTH = 20
-TREE_PLACES = 1 << 10
+# Labelled reviews that the text learners fit at most.
+FIT_ROWS = 50_000
 
 
 def split_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,19 +161,30 @@ def weighted_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- regressors on text -----------------------------------------------------
 
 
-def text_features(spark: SparkSession, sf_dir: str, base: str) -> tuple[DataFrame, DataFrame, object]:
-    """Training rows, test rows and the base learner for ``svr`` or ``tree``."""
+def packed_reviews(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tfidf.Vocabulary, int]:
+    """``(doc_id, part, y, idx, val)`` with part ``fit``, ``train`` or ``test``, the numbered vocabulary and its places.
+
+    The learners fit at most ``FIT_ROWS`` training reviews, those of the smallest
+    hashes, and know the tokens of these. Frequencies count all training reviews.
+    """
     split = split_reviews(spark, sf_dir).withColumn("y", T.rating(F.col("overall")))
-    if base == "tree":
-        vectors = tfidf.hashed_features(split, T.word_tokens(F.col("review")), F.col("is_train"), TREE_PLACES)
-        rows = materialize(vectors.select("doc_id", "is_train", "y", "features"), "tree-features")
-        fitted = learner("tree", max_depth=MAX_DEPTH)
-    else:
-        vocabulary, places = tfidf.numbered(train_vocabulary(split))
-        lists = tfidf.packed(review_tokens(split), vocabulary, "doc_id")
-        rows = materialize(split.select("doc_id", "is_train", "y").join(lists, "doc_id", "left"), "svr-features")
-        fitted = learner("svr", places=places)
-    return rows.where("is_train"), rows.where(~F.col("is_train")), fitted
+    key = F.xxhash64(F.lit(SEED), "doc_id")
+    # Ids only, at most FIT_ROWS of them.
+    chosen = materialize(split.where("is_train").select("doc_id").orderBy(key, "doc_id").limit(FIT_ROWS), "fit-rows")
+    part = F.when(F.col("chosen"), "fit").when(F.col("is_train"), "train").otherwise("test")
+    split = split.join(F.broadcast(chosen.withColumn("chosen", F.lit(True))), "doc_id", "left").withColumn("part", part)
+    known = split.where("part = 'fit'").select(F.explode(T.word_tokens(F.col("review"))).alias("token"))
+    vocabulary, places = tfidf.numbered(tfidf.narrowed(train_vocabulary(split), known))
+    lists = tfidf.packed(review_tokens(split), vocabulary, "doc_id")
+    rows = materialize(split.select("doc_id", "part", "y").join(lists, "doc_id", "left"), "text-features")
+    return rows, vocabulary, places
+
+
+def text_features(spark: SparkSession, sf_dir: str, base: str) -> tuple[DataFrame, DataFrame, object]:
+    """Rows to fit, test rows and the base learner for ``svr`` or ``tree``."""
+    rows, _, places = packed_reviews(spark, sf_dir)
+    fitted = learner("tree", max_depth=MAX_DEPTH) if base == "tree" else learner("svr", places=places)
+    return rows.where("part = 'fit'"), rows.where("part = 'test'"), fitted
 
 
 def text_model(train: DataFrame, test: DataFrame, fitted, method: str) -> DataFrame:
@@ -217,12 +229,28 @@ def regression_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bagged trees saved, loaded again by model index, and applied."""
-    train, test, fitted = text_features(spark, sf_dir, "tree")
+    """Models of every base learner and their vocabulary stored, loaded again, and applied to documents without a label.
+
+    ``(base, doc_id, model_id, pred)``.
+    """
+    rows, vocabulary, places = packed_reviews(spark, sf_dir)
+    fit_rows = rows.where("part = 'fit'")
+    lines, _ = lined(spark, sf_dir)
     path = scratch(spark, "models")
-    S.save_models(spark, E.bagging(train, "doc_id", "y", fitted, 2, RATIO, SEED), [1.0, 1.0], path)
-    models, _ = S.load_models(spark, path)
-    return predictions(models, test, "doc_id")
+    for base, train in (("line", lines), ("svr", fit_rows), ("tree", fit_rows)):
+        fitted = learner(base, max_depth=MAX_DEPTH, places=places)
+        models = E.bagging(train, "doc_id", "y", fitted, 2, RATIO, SEED)
+        S.save_models(spark, models, [1.0, 1.0], f"{path}/{base}", None if base == "line" else vocabulary)
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review"), F.col("n_chars").cast("double").alias("x"))
+    new = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
+    tokens = occurrences(new, "doc_id", T.word_tokens(F.col("review")))
+    lists = tfidf.packed(tokens, S.load_vocabulary(spark, f"{path}/svr"), "doc_id")
+    new = materialize(new.select("doc_id", "x").join(lists, "doc_id", "left"), "new-features")
+    parts = []
+    for base in ("line", "svr", "tree"):
+        models, _ = S.load_models(spark, f"{path}/{base}")
+        parts.append(predictions(models, new, "doc_id").select(F.lit(base).alias("base"), "doc_id", "model_id", "pred"))
+    return parts[0].union(parts[1]).union(parts[2])
 
 
 # ---- files ------------------------------------------------------------------

@@ -45,7 +45,7 @@ def test_tfidf_equals_the_definition_and_drops_unknown_tokens(spark):
     assert [(r.token, r.w) for r in got] == [("cat", 1.0)]
 
 
-def test_packed_rows_and_hashed_places(spark):
+def test_packed_rows_and_narrowed_vocabulary(spark):
     docs = text_df(spark)
     words = T.word_tokens(F.col("t"))
     vocabulary = tfidf.fit_idf(docs, words, docs.count())
@@ -57,10 +57,10 @@ def test_packed_rows_and_hashed_places(spark):
     assert got == pytest.approx(plain_tfidf())
     shuffled = tfidf.packed(tokens, exact, "row", 0).collect()
     assert {(r.row, names[i]): v for r in shuffled for i, v in zip(r.idx, r.val)} == pytest.approx(plain_tfidf())
-    hashed, few = tfidf.numbered(vocabulary, 4)
-    assert few == 4
-    for r in tfidf.packed(tokens, hashed, "row").collect():
-        assert max(r.idx) < 4 and sum(v * v for v in r.val) == pytest.approx(1)
+    part = tfidf.narrowed(vocabulary, spark.createDataFrame([("cat",), ("dog",), ("cat",), ("new",)], "token string"))
+    assert part.size.rows == 2
+    for r in tfidf.packed(tokens, tfidf.numbered(part)[0], "row").collect():
+        assert max(r.idx) < 2 and sum(v * v for v in r.val) == pytest.approx(1)
 
 
 def test_hashed_vectors_use_the_same_weights(spark):
@@ -190,16 +190,83 @@ def test_large_gradients_are_summed_in_a_tree(spark, monkeypatch):
     assert G.SupportVectorLearner(30, passes=5).descend(train, draws, "row", "y", 1)[0].value == pytest.approx(one)
 
 
-def test_trees_respect_depth_and_survive_storage(spark, tmp_path):
+def tree_rows(spark):
     docs = spark.createDataFrame([(i, f"w{i % 7} w{i % 5} common", float(i % 7)) for i in range(80)], "row long, t string, y double")
-    train = tfidf.hashed_features(docs, T.word_tokens(F.col("t")), F.lit(True), 64)
+    words = T.word_tokens(F.col("t"))
+    vocabulary, _ = tfidf.numbered(tfidf.fit_idf(docs, words, 80))
+    return docs.join(tfidf.packed(occurrences(docs, "row", words), vocabulary, "row"), "row", "left"), vocabulary
+
+
+def test_trees_respect_depth_and_survive_storage(spark, tmp_path):
+    train, vocabulary = tree_rows(spark)
     models = E.bagging(train, "row", "y", G.learner("tree", max_depth=3), 3, 0.8, 1)
-    assert all(m.model.depth <= 3 for m in models)
-    S.save_models(spark, models, [0.5, 0.25, 0.125], str(tmp_path / "m"))
+    assert all(m.depth <= 3 for m in models)
+    S.save_models(spark, models, [0.5, 0.25, 0.125], str(tmp_path / "m"), vocabulary)
     loaded, votes = S.load_models(spark, str(tmp_path / "m"))
     assert votes == [0.5, 0.25, 0.125]
     before = {(r.row, r.model_id): r.pred for r in G.predictions(models, train, "row").collect()}
     assert {(r.row, r.model_id): r.pred for r in G.predictions(loaded, train, "row").collect()} == before
+    # The stored vocabulary turns a new text into the same features.
+    new = spark.createDataFrame([(7, "w0 w2 common")], "row long, t string")
+    lists = tfidf.packed(occurrences(new, "row", T.word_tokens(F.col("t"))), S.load_vocabulary(spark, str(tmp_path / "m")), "row")
+    assert {r.model_id: r.pred for r in G.predictions(loaded, lists, "row").collect()} == {m: before[7, m] for m in range(3)}
+
+
+@pytest.mark.parametrize("kind", ["line", "vector"])
+def test_other_models_survive_storage(spark, tmp_path, kind):
+    models = [G.LineModel(1.5, 0.25)] if kind == "line" else [G.VectorModel(np.array([0.5, -2.0, 3.0]))]
+    S.save_models(spark, models, [2.0], str(tmp_path / "m"))
+    loaded, votes = S.load_models(spark, str(tmp_path / "m"))
+    df = spark.createDataFrame([(0, 2.0, [1], [4.0]), (1, 0.0, None, None)], "row int, x double, idx array<int>, val array<double>")
+    got = {r.row: r.pred for r in G.predictions(loaded, df, "row").collect()}
+    assert votes == [2.0] and got == ({0: 3.25, 1: 0.25} if kind == "line" else {0: -5.0, 1: 3.0})
+
+
+def plain_tree(rows, depth, node=1):
+    """``rows`` of (cells, weight, label); the nodes as ``{node: (place, step, value)}``."""
+    n, s = sum(m for _, m, _ in rows), sum(m * y for _, m, y in rows)
+    best = None
+    if depth and len({y for _, _, y in rows}) > 1:
+        for place, step in sorted({c for cells, _, _ in rows for c in cells.items()}):
+            right = [r for r in rows if r[0].get(place, 0) >= step]
+            nr, sr = sum(m for _, m, _ in right), sum(m * y for _, m, y in right)
+            if nr < n:
+                score = sr * sr / nr + (s - sr) * (s - sr) / (n - nr)
+                if best is None or score > best[0]:
+                    best = (score, place, step)
+    if best is None:
+        return {node: (-1, 0, s / n)}
+    _, place, step = best
+    up = [r for r in rows if r[0].get(place, 0) >= step]
+    down = [r for r in rows if r[0].get(place, 0) < step]
+    return {node: (place, step - 1, s / n)} | plain_tree(down, depth - 1, 2 * node) | plain_tree(up, depth - 1, 2 * node + 1)
+
+
+def test_trees_equal_plain_recursion(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(90):
+        places = sorted(rng.choice(12, size=rng.integers(1, 6), replace=False).tolist())
+        rows.append((i, places, rng.random(len(places)).tolist(), float(rng.integers(1, 6))))
+    rows += [(90, None, None, 2.0), (91, [], [], 5.0)]
+    train = spark.createDataFrame(rows, "row long, idx array<int>, val array<double>, y double")
+    draws = train.select("row", F.explode(F.array(F.lit(0), F.lit(1))).alias("model_id")).where("model_id = 0 or row % 3 > 0")
+    draws = draws.withColumn("multiplicity", F.when(F.col("model_id") == 1, F.col("row") % 3).otherwise(1))
+    models = G.TreeLearner(6).fit(train, draws, "row", "y", 2)
+    for model_id, model in enumerate(models):
+        drawn = [({p: min(max(math.ceil(v * 64), 1), 64) for p, v in zip(i or [], x or [])}, 1 if model_id == 0 else r % 3, y)
+                 for r, i, x, y in rows if model_id == 0 or r % 3]
+        want = plain_tree(drawn, 6)
+        assert {int(n): (int(p), int(c), v) for n, p, c, v in zip(model.node, model.place, model.cut, model.value)} == want
+    got = G.predictions(models[:1], train, "row").collect()
+    assert len(got) == 92 and {r.pred for r in got} <= set(models[0].value[models[0].place < 0])
+
+
+def test_vocabulary_beyond_any_fixed_number_of_places(spark):
+    docs = spark.range(300).select(F.col("id").alias("row"), F.expr("transform(sequence(0, 999), i -> concat('t', id * 1000 + i))").alias("t"))
+    vocabulary, places = tfidf.numbered(tfidf.fit_idf(docs, F.col("t"), 300))
+    assert places == 300_000
+    assert vocabulary.table.select("idx").distinct().count() == 300_000
 
 
 def test_unknown_learners_are_refused():
