@@ -24,6 +24,8 @@ LEAST_PREFIX = 4
 WINDOW = 2
 # Sorted rows, and rows of a dense region, that one task holds.
 BLOCK, REGION_BLOCK = 8_192, 512
+# Shingles of a text whose set goes to the tasks that compare dense regions: 64 KB.
+LARGE_SET = 8_192
 # Of 128 values, a similarity of 0.8 leaves fewer than this equal once in 2,000,000 pairs.
 LEAST_EQUAL = 80
 
@@ -110,20 +112,56 @@ def _verifier(width: int, percent: int):
     return verify
 
 
+def _set_writer(width: int, largest: int):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [found.tobytes() if len(found) <= largest else None for found in shingle_sets(batch.column("text"), width)]
+            yield pa.record_batch([batch.column("id"), pa.array(sets, pa.binary())], ["id", "shingles"])
+
+    return write
+
+
 def _cross_pairs(percent: int):
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
-        low, high = key[-2:]
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        tree, low, high = key[0], *key[-2:]
         ids, size, component, block = (group[c].to_numpy() for c in ("id", "size", "component", "block"))
         one, two = np.flatnonzero(block == low), np.flatnonzero(block == high)
         met = (component[one][:, None] != component[two][None, :]) & _sizes_allow(size[one][:, None], size[two][None, :], percent)
         i, j = np.nonzero(met)
         signs = np.frombuffer(b"".join(group["sig"]), np.uint16).reshape(len(group), -1)
+        # First halves of the labels: a pair is compared in the first order that has both in one region.
+        regions = np.ascontiguousarray(signs).view(np.uint64)[:, ::2][:, :tree]
         alike = [np.zeros(0, bool)]
         for first in range(0, len(i), 1 << 15):
             a, b = one[i[first : first + (1 << 15)]], two[j[first : first + (1 << 15)]]
-            alike.append((signs[a] == signs[b]).sum(axis=1) >= LEAST_EQUAL)
-        i, j = i[np.concatenate(alike)], j[np.concatenate(alike)]
-        return pd.DataFrame({"a": np.minimum(ids[one[i]], ids[two[j]]), "b": np.maximum(ids[one[i]], ids[two[j]])}).drop_duplicates()
+            alike.append(((signs[a] == signs[b]).sum(axis=1) >= LEAST_EQUAL) & ~(regions[a] == regions[b]).any(axis=1))
+        alike = np.concatenate(alike)
+        one, two = one[i[alike]], two[j[alike]]
+        unread = group["shingles"].isna().to_numpy()
+        late = unread[one] | unread[two]
+        out = [(x, y, False) for x, y in zip(one[late], two[late])]
+        sets = [np.frombuffer(x or b"", np.uint64) for x in group["shingles"]]
+        stored = np.concatenate(sets)
+        numbers = np.unique(stored, return_inverse=True)[1]
+        held = np.array([len(x) for x in sets])
+        ends = np.concatenate([[0], np.cumsum(held)])
+        marks, marked = np.zeros(len(stored), bool), -1
+        joined = set()
+        for x, y in zip(one[~late], two[~late]):
+            families = (min(component[x], component[y]), max(component[x], component[y]))
+            if families in joined:
+                continue
+            if x != marked:
+                marks[:] = False
+                marks[numbers[ends[x] : ends[x + 1]]] = True
+                marked = x
+            common = np.count_nonzero(marks[numbers[ends[y] : ends[y + 1]]])
+            if common and 100 * common >= percent * (held[x] + held[y] - common):
+                joined.add(families)
+                out.append((x, y, True))
+        at = np.array(out, np.int64).reshape(-1, 3)
+        a, b = ids[at[:, 0]], ids[at[:, 1]]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "linked": at[:, 2].astype(bool)}).drop_duplicates()
 
     return run
 
@@ -165,7 +203,12 @@ class _Forest:
 
 
 def _dense_rest(forest: _Forest, placed: DataFrame, components: DataFrame) -> DataFrame | None:
-    """Likely pairs of unconnected texts of one region beyond the window, block by block."""
+    """Links between unconnected texts of one region beyond the window, found block by block.
+
+    A task has the shingle sets of two blocks and returns one link for any two
+    families that it finds linked. Pairs with a text of more than ``LARGE_SET``
+    shingles are verified by a join with the texts.
+    """
     region = ["tree", "high"]
     dense, _ = keep(
         placed.groupBy(*region).agg(F.count("*").alias("n"), F.min("idx").alias("first")).where(F.col("n") > WINDOW + 1), "dense"
@@ -174,16 +217,22 @@ def _dense_rest(forest: _Forest, placed: DataFrame, components: DataFrame) -> Da
         return None
     rows = placed.join(dense, region).join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed_regions = rows.groupBy(*region).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    rows, _ = keep(rows.join(mixed_regions, region, "left_semi"), "dense")
+    sets = forest.texts.join(rows.select("id").distinct(), "id", "left_semi").mapInArrow(
+        _set_writer(forest.width, LARGE_SET), "id bigint, shingles binary"
+    )
     dealt = (
-        rows.join(mixed_regions, region, "left_semi")
-        .join(forest.reps.select("id", "sig"), "id")
-        .withColumn("block", F.floor((F.col("idx") - F.col("first")) / REGION_BLOCK))
+        rows.withColumn("block", F.floor((F.col("idx") - F.col("first")) / REGION_BLOCK))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / REGION_BLOCK))))
         .withColumn("left", F.least("block", "other"))
         .withColumn("right", F.greatest("block", "other"))
-        .select(*region, "left", "right", "block", "id", "size", "component", "sig")
+        .join(forest.reps.select("id", "sig").join(sets, "id"), "id")
+        .select(*region, "left", "right", "block", "id", "size", "component", "sig", "shingles")
     )
-    return dealt.groupBy(*region, "left", "right").applyInPandas(_cross_pairs(forest.percent), "a bigint, b bigint").distinct()
+    found = dealt.groupBy(*region, "left", "right").applyInPandas(_cross_pairs(forest.percent), "a bigint, b bigint, linked boolean")
+    found, _ = keep(found.distinct(), "across")
+    checked = forest.verified(found.where("not linked").select("a", "b"))
+    return found.where("linked").select("a", "b").union(checked)
 
 
 def near_duplicate_texts(
@@ -234,7 +283,7 @@ def near_duplicate_texts(
     components = connected_components(links)
     rest = _dense_rest(forest, placed, components)
     if rest is not None:
-        final, _ = keep(forest.verified(rest), "verified")
+        final, _ = keep(rest, "verified")
         if not final.isEmpty():
             components = connected_components(links.union(final))
     drop(forest.spark, placed_path, likely_path)

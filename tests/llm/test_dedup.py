@@ -137,10 +137,12 @@ def test_near_texts_with_odd_rows(spark):
     assert near_duplicate_texts(df.limit(0)).count() == 0
 
 
-def test_dense_regions_are_compared_beyond_the_window(spark, monkeypatch):
+@pytest.mark.parametrize("largest", [8_192, 115, 0])
+def test_dense_regions_are_compared_beyond_the_window(spark, monkeypatch, largest):
     import tallyloom.llm.minhash_forest as module
 
     monkeypatch.setattr(module, "REGION_BLOCK", 16)
+    monkeypatch.setattr(module, "LARGE_SET", largest)
     rng = np.random.default_rng(2)
     words = [f"t{i}" for i in range(120)]
     rows = []
