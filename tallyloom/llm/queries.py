@@ -14,6 +14,7 @@ from tallyloom.llm.packing import packed_pieces
 from tallyloom.llm.quality_votes import quality_scores
 from tallyloom.llm.source_mix import mix_report
 from tallyloom.llm.suffix_dedup import removal_report
+from tallyloom.llm.token_prefixes import token_counts
 from tallyloom.llm.toxicity import toxicity_scores
 from tallyloom.llm.warc_archive import archive_round_trip
 
@@ -76,6 +77,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_token_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_chat_trees": op2_chat_trees,
@@ -87,4 +92,5 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_curve_search": op9_curve_search,
     "op10_source_mix": op10_source_mix,
+    "op11_token_prefixes": op11_token_prefixes,
 }
