@@ -341,9 +341,15 @@ class _Walk:
         return out
 
 
+@cache
+def _counter(tokenizer: str) -> PrefixCounter:
+    """One per worker process, so that later tasks find its words again."""
+    return PrefixCounter(tokenizer)
+
+
 def _tabled(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(tokenizer)
+        counter = _counter(tokenizer)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
