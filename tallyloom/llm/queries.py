@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.angle_negatives import hard_negatives
 from tallyloom.llm.chat_trees import chat_conversations, linear_threads, read_back
 from tallyloom.llm.common import read_table
 from tallyloom.llm.curve_search import curve_neighbours
@@ -81,6 +82,11 @@ def op11_token_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op12_angle_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_chat_trees": op2_chat_trees,
@@ -93,4 +99,5 @@ QUERIES = {
     "op9_curve_search": op9_curve_search,
     "op10_source_mix": op10_source_mix,
     "op11_token_prefixes": op11_token_prefixes,
+    "op12_angle_negatives": op12_angle_negatives,
 }

@@ -1,3 +1,26 @@
-"""SQL for the corpus queries that SQL can express on whole tables."""
+"""SQL for the corpus queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op12_angle_negatives": """
+with usable as (
+    select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           [floor(256 * x::double) for x in embedding] as q
+    from embeddings
+    where label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+),
+scored as (
+    select a.id as anchor_id, a.label as anchor_label, r.id, r.label, list_inner_product(a.q, r.q)::bigint as score
+    from usable a join usable r on a.id <> r.id where a.id % 100 = 0
+),
+positives as (
+    select anchor_id, anchor_label, id as positive_id, score as positive_score from scored where label = anchor_label
+    qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select p.anchor_id, p.positive_id, cast(row_number() over w as int) as rank, n.id as negative_id, p.positive_score, n.score as negative_score
+from positives p join scored n
+  on n.anchor_id = p.anchor_id and n.label <> p.anchor_label
+ and 80 * p.positive_score <= 100 * n.score and 100 * n.score <= 100 * p.positive_score
+window w as (partition by p.anchor_id, p.positive_id order by n.score desc, n.id)
+qualify row_number() over w <= 5
+""",
+}
