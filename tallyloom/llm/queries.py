@@ -12,6 +12,7 @@ from tallyloom.llm.curve_search import curve_neighbours
 from tallyloom.llm.embedding_dedup import near_duplicate_vectors
 from tallyloom.llm.minhash_forest import near_duplicate_texts
 from tallyloom.llm.packing import packed_pieces
+from tallyloom.llm.prefix_trie import conversation_trie
 from tallyloom.llm.quality_votes import quality_scores
 from tallyloom.llm.source_mix import mix_report
 from tallyloom.llm.suffix_dedup import removal_report
@@ -87,6 +88,10 @@ def op12_angle_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_chat_trees": op2_chat_trees,
@@ -100,4 +105,5 @@ QUERIES = {
     "op10_source_mix": op10_source_mix,
     "op11_token_prefixes": op11_token_prefixes,
     "op12_angle_negatives": op12_angle_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
