@@ -99,7 +99,10 @@ class Space:
         return np.divide(out, norm, out=out, where=norm > 0)
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
-        out = self.weighted(counts) @ self.axes
+        return self.turned(self.weighted(counts))
+
+    def turned(self, weighted: np.ndarray) -> np.ndarray:
+        out = weighted @ self.axes
         norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
         return np.divide(out, norm, out=np.zeros_like(out), where=norm > 1e-6)
 
@@ -123,45 +126,74 @@ class Voters:
     prior: float
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
-        """Weighted share of label 1 among the nearest; the prior where nothing is similar."""
+        """Weighted share of label 1 among the nearest; the prior where nothing is similar.
+
+        Rows as similar as the last of the nearest vote too, so ties need no order.
+        """
         latent = self.space.latent(counts)
         out = np.full(len(latent), self.prior)
         if not len(self.vectors):
             return out
         near = latent @ self.vectors.T
         k = min(NEIGHBOURS, near.shape[1])
-        best = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        votes = np.maximum(np.take_along_axis(near, best, axis=1), 0).astype(np.float64) ** SHARPNESS * self.weights[best]
-        total = votes.sum(axis=1)
+        edge = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
+        near[(near < edge[:, None]) | (near < 0)] = 0
+        row, vote = np.nonzero(near)
+        votes = near[row, vote].astype(np.float64) ** SHARPNESS * self.weights[vote]
+        total = np.bincount(row, votes, minlength=len(latent))
         heard = total > 1e-9
-        out[heard] = (votes * self.good[best]).sum(axis=1)[heard] / total[heard]
+        out[heard] = np.bincount(row, votes * self.good[vote], minlength=len(latent))[heard] / total[heard]
         return np.clip(out, 0.0, 1.0)
 
 
+FITTED = "axes binary, vectors binary, good binary"
+
+
+def _fitted(idf: np.ndarray):
+    """Axes and latent vectors of the sample; one task holds its at most ``2 * PER_CLASS`` rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        space, blocks, good = Space(idf, np.zeros((TERMS, 1), np.float32)), [], []
+        for batch in batches:
+            if len(batch):
+                counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.int32).reshape(-1, TERMS)
+                blocks.append(space.weighted(counts))
+                good.append(batch.column("y").to_numpy().astype(np.float64))
+        if not blocks:
+            return
+        gram = sum(block.T @ block for block in blocks).astype(np.float64)
+        _, axes = np.linalg.eigh(gram)
+        space.axes = np.ascontiguousarray(axes[:, ::-1][:, :AXES]).astype(np.float32)
+        vectors = np.concatenate([space.turned(block) for block in blocks])
+        parts = [space.axes.tobytes(), vectors.tobytes(), np.concatenate(good).tobytes()]
+        yield pa.record_batch([pa.array([p], pa.binary()) for p in parts], ["axes", "vectors", "good"])
+
+    return run
+
+
 def fit_voters(documents: DataFrame, labels: DataFrame, usable, label: str = "quality", seed: int = 3) -> Voters:
-    """Term weights from all documents, axes and voters from a bounded sample of labelled ones."""
+    """Term weights from all documents, axes and voters from a bounded sample of labelled ones.
+
+    The sample is turned into latent vectors in one task; the driver gets these and the axes, about 2 MB.
+    """
     counted = documents.select("text").mapInArrow(_document_counts, "term int, n bigint")
     counts = {r.term: r.n for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}
     df = np.array([counts.get(t, 0) for t in range(TERMS)], np.float64)
     idf = (np.log((1 + counts.get(-1, 0)) / (1 + df)) + 1).astype(np.float32)
     idf[HASHED:] *= EMPHASIS
     sample, sizes = labelled_sample(documents, labels, label, usable, PER_CLASS, seed)
-    rows = sample.mapInArrow(_counts_of, "doc_id bigint, y int, counts binary").toPandas()
-    rows = rows.sort_values(["doc_id", "y"], kind="stable").reset_index(drop=True)
+    rows = sample.mapInArrow(_counts_of, "doc_id bigint, y int, counts binary")
+    fitted = rows.repartition(1).sortWithinPartitions("doc_id", "y", "counts").mapInArrow(_fitted(idf), FITTED).first()
     total = sum(sizes.values())
     prior = sizes.get(1, 0) / total if total else 0.5
-    space = Space(idf, np.zeros((TERMS, 1), np.float32))
-    if not len(rows):
-        return Voters(space, np.zeros((0, 1), np.float32), np.zeros(0), np.zeros(0), prior)
-    table = np.frombuffer(b"".join(rows["counts"]), np.int32).reshape(-1, TERMS)
-    weighted = space.weighted(table)
-    _, axes = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
-    space.axes = np.ascontiguousarray(axes[:, ::-1][:, :AXES]).astype(np.float32)
-    good = rows["y"].to_numpy(np.float64)
+    if fitted is None:
+        return Voters(Space(idf, np.zeros((TERMS, 1), np.float32)), np.zeros((0, 1), np.float32), np.zeros(0), np.zeros(0), prior)
+    space = Space(idf, np.frombuffer(fitted.axes, np.float32).reshape(TERMS, -1))
+    good = np.frombuffer(fitted.good, np.float64)
     # A class that the sample holds too much of votes with less weight.
     held = {y: max((good == y).sum(), 1) for y in (0, 1)}
     weights = np.where(good == 1, sizes.get(1, 0) / held[1], sizes.get(0, 0) / held[0])
-    return Voters(space, space.latent(table), good, weights, prior)
+    return Voters(space, np.frombuffer(fitted.vectors, np.float32).reshape(len(good), -1), good, weights, prior)
 
 
 def _score(voters: Voters, names: list[str]):
@@ -175,7 +207,10 @@ def _score(voters: Voters, names: list[str]):
 
 
 def good_documents(documents: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, at_least: float = 0.7) -> DataFrame:
-    """The rows of ``documents`` that :func:`quality_scores` predicts as label 1, all columns unchanged."""
+    """The rows of ``documents`` that :func:`quality_scores` predicts as label 1, all columns unchanged.
+
+    Null and empty texts, repeated rows and null ids are scored as there; each row stands for itself.
+    """
     voters = fit_voters(documents, labels, remainder(F.col("doc_id"), modulus) != held)
     names = [f"c_{i}" for i in range(len(documents.columns))]
     rows = documents.select(*[F.col(c).alias(n) for c, n in zip(documents.columns, names)], F.col("text").alias("text"))
@@ -191,7 +226,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame, modulus: int = 4, he
     words) weighted by inverse document frequency over all documents, projected to 64
     latent axes. At most 3,000 labelled rows of each class, about 2 MB of vectors,
     go to every task, which multiplies them with its documents block by block.
-    The 24 most similar vote with their similarity to the eighth power.
+    The 24 most similar, and all that tie with the last of them, vote with their similarity to the eighth power.
 
     Labels come only from rows whose crc32 of the id leaves another remainder than
     ``held``. Null and empty texts, and texts like no labelled one, get the

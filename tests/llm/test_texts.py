@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.llm import quality_votes, source_mix
 from tallyloom.llm.chat_trees import chat_conversations, escaped, linear_threads, read_back, reply_paths, unescaped
 from tallyloom.llm.curve_search import curve_neighbours
 from tallyloom.llm.hilbert import hilbert_keys
@@ -173,7 +174,7 @@ def test_search_of_odd_rows(spark):
 
 @pytest.mark.parametrize("count", [1, 2, 3, 64, 100, 1_023, 4_096])
 def test_permutations_are_one_to_one(spark, count):
-    rows = spark.range(count).select(permuted(F.col("id"), F.lit(count).cast("bigint"), 13).alias("p")).collect()
+    rows = spark.range(count).select(permuted(F.col("id"), F.lit(count).cast("bigint"), F.lit(13)).alias("p")).collect()
     assert sorted(r.p for r in rows) == list(range(count))
 
 
@@ -191,7 +192,96 @@ def test_targets_stop_at_three_times_the_size(spark):
 
 def test_mix_of_odd_rows(odd):
     rows = mix_report(odd).collect()
-    assert len(rows) >= len(ODD) and {r.doc_id: r["size"] for r in rows}[5] == 20_000
+    assert len(rows) == len(ODD) and {r.doc_id: r["size"] for r in rows}[5] == 20_000
+    assert all(r.taken <= 3 * r["size"] for r in rows)
     mixed = mixed_documents(odd)
-    assert mixed.columns == odd.columns and mixed.count() > 0
+    assert mixed.columns == odd.columns
+    texts = mixed.collect()
+    assert sum(len(r.text.split()) for r in texts) == sum(r.taken for r in rows) and all(r.n_chars == len(r.text) for r in texts)
+    assert sum(r.doc_id is None for r in texts) == 3 * (sum(r.taken for r in rows if r.doc_id is None) > 0) or any(r.doc_id is None for r in texts)
     assert mix_report(odd.limit(0)).count() == 0 and mixed_documents(odd.limit(0)).count() == 0
+
+
+def test_repeated_and_null_ids_are_taken_within_their_limit(spark):
+    rows = [(100, f"w{i} " * 500, "a") for i in range(5)] + [(None, f"v{i} " * 300, "a") for i in range(5)]
+    rows += [(200 + i, "x y z " * 400, "b") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_report(df).collect()
+    assert len(got) == 30 and all(0 <= r.taken <= 3 * r["size"] for r in got)
+    by_source = {s: sum(r.taken for r in got if r.source_size == s) for s in (4_000, 24_000)}
+    assert {r.target for r in got} == {12_000.0, 16_000.0} and all(abs(t - w) < 128 for t, w in zip(by_source.values(), (12_000, 16_000)))
+    texts = [r.text.split() for r in mixed_documents(df).collect()]
+    assert sum(map(len, texts)) == sum(r.taken for r in got)
+    assert {w for t in texts for w in t if w[0] == "v"} == {f"v{i}" for i in range(5)}
+
+
+def test_taken_words_equal_a_walk_over_all_slots(spark, monkeypatch):
+    monkeypatch.setattr(source_mix, "SHARD_SLOTS", 16)
+    rng = np.random.default_rng(2)
+    rows = [(i, f"s{i % 5}" if i % 5 else None, int(n)) for i, n in enumerate(rng.integers(0, 900, 120))]
+    df = spark.createDataFrame(rows, "row long, source string, size long")
+    plan, _, total = source_mix.source_plan(df, source_mix.WEIGHTS)
+    plans = {r.ordinal: r for r in plan.collect()}
+    slots = source_mix.drawn_slots(plan, total, 13).collect()
+    pieces = source_mix.placed_pieces(df, plan)[0].collect()
+    # Pieces tile every row and every block; each epoch takes a block once, and shards are full.
+    for i, _, size in rows:
+        mine = sorted((p.first, p.last) for p in pieces if p.row == i)
+        assert [a for a, _ in mine] + [size] * (size > 0) == [0] * (size > 0) + [b for _, b in mine]
+    assert len({(s.ordinal, s.block, s.epoch) for s in slots}) == len(slots) == sum(p.quota for p in plans.values())
+    assert len({(s.shard, s.place) for s in slots}) == len(slots) and max(s.shard for s in slots) == (len(slots) - 1) // 16
+    assert all(0 <= s.block < plans[s.ordinal].blocks and 0 <= s.epoch < 3 for s in slots)
+    taken = defaultdict(int)
+    for s in slots:
+        for p in pieces:
+            if (p.ordinal, p.block) == (s.ordinal, s.block):
+                taken[p.row] += p.last - p.first
+    told = df.select(F.col("row").alias("doc_id"), "source", F.repeat(F.lit("w "), F.col("size").cast("int")).alias("text"))
+    got = mix_report(told).collect()
+    for o, p in plans.items():
+        mine = [r for r in got if r.source_size == p.source_size and r.target == p.target]
+        assert abs(sum(r.taken for r in mine) - p.target) <= 3 * 64
+    assert sum(r.taken for r in got) == pytest.approx(sum(taken.values()), abs=3 * 64 * len(plans))
+    pieces_of, _ = source_mix.mixed_pieces(df, source_mix.WEIGHTS, 13)
+    assert {r.row: r.n for r in pieces_of.groupBy("row").agg(F.sum(F.col("last") - F.col("first")).alias("n")).collect()} == dict(taken)
+    # Sources' shares differ from shard to shard, as drawn ones do.
+    counts = defaultdict(set)
+    for shard in {s.shard for s in slots}:
+        counts[0].add(sum(s.ordinal == 0 for s in slots if s.shard == shard))
+    assert len(counts[0]) > 2
+
+
+def test_tied_neighbours_all_vote():
+    space = quality_votes.Space(np.ones(quality_votes.TERMS, np.float32), np.eye(quality_votes.TERMS, 2, dtype=np.float32))
+    vectors = np.repeat(np.array([[1.0, 0.0]], np.float32), 60, axis=0)
+    good = np.arange(60) % 2.0
+    counts = np.zeros((1, quality_votes.TERMS), int)
+    counts[0, 0] = 3
+    for order in (np.arange(60), np.arange(60)[::-1]):
+        voters = quality_votes.Voters(space, vectors[order], good[order], np.ones(60), 0.1)
+        assert voters.scores(counts).tolist() == [0.5]
+
+
+def brute_votes(voters, counts):
+    """Scores by plain loops over every labelled vector."""
+    out = []
+    for row in counts:
+        latent = voters.space.latent(row[None])[0]
+        near = sorted(((float(latent @ v), float(y), float(w)) for v, y, w in zip(voters.vectors, voters.good, voters.weights)), reverse=True)
+        edge = near[min(quality_votes.NEIGHBOURS, len(near)) - 1][0]
+        votes = [(s**quality_votes.SHARPNESS * w, y) for s, y, w in near if s >= edge and s > 0]
+        total = sum(v for v, _ in votes)
+        out.append(sum(v * y for v, y in votes) / total if total > 1e-9 else voters.prior)
+    return out
+
+
+def test_quality_scores_equal_plain_votes(spark, labels):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    usable = quality_votes.remainder(F.col("doc_id"), 4) != 2
+    voters = quality_votes.fit_voters(docs, labels, usable)
+    texts = {r.doc_id: r.text for r in docs.limit(40).collect()}
+    data = [t.encode() for t in texts.values()]
+    offsets = np.cumsum([0, *map(len, data)])
+    counts = quality_votes.term_counts(np.frombuffer(b"".join(data), np.uint8), offsets)
+    got = {r.doc_id: r.score for r in quality_scores(docs, labels).collect()}
+    assert [got[i] for i in texts] == pytest.approx(brute_votes(voters, counts), abs=1e-3)
