@@ -52,6 +52,11 @@ rating AS (SELECT doc_id, model, label, sum(p * (class_id + 1)) AS rating FROM p
 voted AS (SELECT doc_id, class_id, avg(p) AS p FROM probs GROUP BY ALL)"""
 
 SQL = {
+    # The balance of a settled classifier is the number of reviews of the class; see the query.
+    "classifier_fit": f"""WITH {SPLIT}, known AS (SELECT CAST(overall AS INTEGER) - 1 AS label, text FROM split WHERE NOT is_test),
+words AS (SELECT count(DISTINCT token) + 1 AS places FROM (SELECT unnest({WORDS.format(col='text')}) AS token FROM known))
+SELECT CAST(c.class_id AS INTEGER) AS class_id, count(label) AS reviews, count(label) AS balance, any_value(places) AS places, true AS settled
+      FROM (SELECT unnest(range(5)) AS class_id) c LEFT JOIN known ON label = c.class_id CROSS JOIN words GROUP BY c.class_id""",
     "rating_class": f"""WITH {REVIEWS} SELECT d.doc_id, CAST(r.overall AS INTEGER) - 1 AS class_id
       FROM documents d LEFT JOIN reviews r ON r.doc_id = d.doc_id""",
     "pair_text": f"WITH {REVIEWS} SELECT doc_id, CAST(length({TEXT}) AS INTEGER) AS n_chars, md5({TEXT}) AS text_md5 FROM reviews",

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
 from tallyloom.functions import vectors as V
 from tallyloom.operators import ensembles as E
-from tallyloom.operators import metrics, sampling
+from tallyloom.operators import metrics, sampling, tfidf
 from tallyloom.operators import naive_bayes as nb
 from tallyloom.operators import sequences as Q
 from tallyloom.operators.ranking import ordered_index
-from tallyloom.operators.tfidf import hashed_features
+from tallyloom.operators.softmax import CONSTANT, SoftmaxLearner, probabilities, with_constant
 from tallyloom.plans.views import reviews, table
 from tallyloom.session import materialize, scratch
 from tallyloom.sources import tables as S
@@ -26,7 +24,7 @@ RATINGS = ("1", "2", "3", "4", "5")
 # Two models are trained on different shares of the training reviews.
 MODEL_SEEDS = {"a": 2022, "b": 2023}
 SHARE = 0.8
-PLACES = 1 << 12
+PENALTY = 0.01
 
 
 def paired(df: DataFrame) -> DataFrame:
@@ -197,51 +195,82 @@ def batch_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- trained classifier -----------------------------------------------------
 
 
-def classifier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = paired(split_reviews(spark, sf_dir)).withColumn("label", T.rating_class(F.col("overall")).cast("double"))
-    rows = hashed_features(split, T.word_tokens(F.col("text")), ~F.col("is_test"), PLACES)
-    return materialize(rows.select("doc_id", "is_test", "label", "features"), "classifier-features")
+def classifier_data(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, tfidf.Vocabulary]:
+    """``(row_id, label, part)`` with part ``train``, ``valid`` or ``test``, their cells on exact places, and the vocabulary.
 
-
-def fitted_classifier(train: DataFrame, steps: int, penalty: float):
-    return LogisticRegression(family="multinomial", maxIter=steps, regParam=penalty).fit(train)
+    The words of all reviews but the test ones make the vocabulary; a tenth of these, by a hash, is set aside for selection.
+    """
+    split = paired(split_reviews(spark, sf_dir)).withColumn("label", T.rating_class(F.col("overall")))
+    aside = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(10)) == 0
+    split = split.withColumn("part", F.when(F.col("is_test"), "test").when(aside, "valid").otherwise("train"))
+    words = T.word_tokens(F.col("text"))
+    known = split.where(~F.col("is_test"))
+    vocabulary, _ = tfidf.numbered(tfidf.fit_idf(known, words, known.count()))
+    lists = tfidf.packed(nb.occurrences(split, "doc_id", words, ["is_test"]), vocabulary, "doc_id")
+    cells = lists.select(F.col("doc_id").alias("row_id"), F.explode(F.arrays_zip("idx", "val")).alias("c"))
+    rows = materialize(split.select(F.col("doc_id").alias("row_id"), "label", "part"), "classifier-rows")
+    return rows, materialize(with_constant(cells.select("row_id", F.col("c.idx").alias("place"), "c.val"), rows), "classifier-cells"), vocabulary
 
 
-def class_probs(model, rows: DataFrame) -> DataFrame:
-    return model.transform(rows).select("doc_id", F.col("label").cast("int").alias("label"), vector_to_array("probability").alias("probs"))
+def trained(rows: DataFrame, cells: DataFrame, tolerance: float = 1e-4):
+    """The classifier at its minimum, fitted on all rows but the test ones."""
+    known = rows.where("part <> 'test'").select("row_id", "label", F.lit(True).alias("fit"))
+    cells = materialize(cells.join(known.select("row_id"), "row_id", "left_semi"), "training-cells")
+    return SoftmaxLearner(len(RATINGS), PENALTY, tolerance).fit(materialize(known, "training-rows"), cells)
 
 
 def rating_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = classifier_features(spark, sf_dir)
-    model = fitted_classifier(rows.where(~F.col("is_test")), 20, 0.01)
-    probs = class_probs(model, rows.where("is_test"))
+    rows, cells, _ = classifier_data(spark, sf_dir)
+    tests = rows.where("part = 'test'").select("row_id", "label")
+    probs = probabilities(tests, cells, trained(rows, cells).weights, len(RATINGS))
     return probs.select(
-        "doc_id", "label", *[F.get("probs", F.lit(i)).alias(f"p_{i}") for i in range(5)],
+        F.col("row_id").alias("doc_id"), "label", *[F.get("probs", F.lit(i)).alias(f"p_{i}") for i in range(len(RATINGS))],
         V.first_argmax(F.col("probs")).alias("pred"), V.expected_rating(F.col("probs")).alias("rating"),
     )
 
 
-STEP_GRID = (1, 2, 4, 8, 16, 32)
-PENALTIES = (0.001, 0.01)
+def classifier_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof that the classifier stands at its minimum: ``(class_id, reviews, balance, places, settled)``.
+
+    Where the gradient vanishes, the probabilities that a class gets on the training
+    rows and its constant's share of the penalty add up to the reviews of the class.
+    """
+    rows, cells, _ = classifier_data(spark, sf_dir)
+    model = trained(rows, cells, SoftmaxLearner.tolerance)
+    known = rows.where("part <> 'test'").select("row_id", "label")
+    probs = probabilities(known, cells, model.weights, len(RATINGS)).select("label", F.posexplode("probs").alias("class_id", "p"))
+    sums = probs.groupBy("class_id").agg(F.sum("p").alias("p"), F.count_if(F.col("label") == F.col("class_id")).alias("reviews"), F.count("*").alias("n"))
+    constant = model.weights.where(F.col("place") == CONSTANT).select(F.posexplode("w").alias("class_id", "w"))
+    return sums.join(constant, "class_id").select(
+        "class_id",
+        "reviews",
+        F.round(F.col("p") + F.col("n") * PENALTY * F.col("w")).cast("bigint").alias("balance"),
+        F.lit(model.weights.count()).cast("bigint").alias("places"),
+        F.lit(model.norm <= SoftmaxLearner.tolerance).alias("settled"),
+    )
+
+
+PENALTIES = (0.1, 0.01)
 
 
 def model_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validation loss of growing training lengths, each stopped at the first rise; the lowest is selected."""
-    rows = classifier_features(spark, sf_dir)
-    train, valid = rows.where(~F.col("is_test")), rows.where("is_test")
-    tried = []
+    """``(penalty, steps, loss, selected)``: loss on the reviews set aside after every step of every penalty.
+
+    Each penalty goes on from the minimum of the one before it, and the reviews set aside are scored in the same
+    passes as the training ones. The step with the lowest loss is selected; its weights are stored
+    like those of all steps. Test reviews are never looked at.
+    """
+    rows, cells, _ = classifier_data(spark, sf_dir)
+    known = rows.where("part <> 'test'").select("row_id", "label", (F.col("part") == "train").alias("fit"))
+    cells = materialize(cells.join(known.select("row_id"), "row_id", "left_semi"), "selection-cells")
+    tried, start = [], None
     for penalty in PENALTIES:
-        best = float("inf")
-        for steps in STEP_GRID:
-            probs = class_probs(fitted_classifier(train, steps, penalty), valid)
-            loss = probs.agg(metrics.log_loss(F.col("probs"), F.col("label"))).first()[0]
-            tried.append((penalty, steps, loss))
-            if loss >= best:
-                break
-            best = loss
-    lowest = min(t[2] for t in tried)
-    rows = [(*t, t[2] == lowest) for t in tried]
-    return spark.createDataFrame(rows, "penalty double, steps int, loss double, selected boolean")
+        for step in SoftmaxLearner(len(RATINGS), penalty, tolerance=1e-3).path(known, cells, start):
+            tried.append((penalty, step.number, step.watched))
+            start = step.weights
+    lowest = min(range(len(tried)), key=lambda i: tried[i][2])
+    told = [(*t, i == lowest) for i, t in enumerate(tried)]
+    return spark.createDataFrame(told, "penalty double, steps int, loss double, selected boolean")
 
 
 QUERIES = {
@@ -259,5 +288,6 @@ QUERIES = {
     "log_loss": log_loss,
     "batch_accuracy": batch_accuracy,
     "rating_classifier": rating_classifier,
+    "classifier_fit": classifier_fit,
     "model_select": model_select,
 }
