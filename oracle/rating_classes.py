@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.ratings import WORDS
-from oracle.spam import REVIEWS, rank
+from oracle.spam import ALL_REVIEWS, REVIEWS, rank
 
 TOKENS = r"regexp_extract_all({col}, '\[SOS\]|[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_ \t\n\r\f\x0B]')"
 TEXT = "concat(summary, '[SOS]', review)"
@@ -59,10 +59,10 @@ SELECT CAST(c.class_id AS INTEGER) AS class_id, count(label) AS reviews, count(l
       FROM (SELECT unnest(range(5)) AS class_id) c LEFT JOIN known ON label = c.class_id CROSS JOIN words GROUP BY c.class_id""",
     "rating_class": f"""WITH {REVIEWS} SELECT d.doc_id, CAST(r.overall AS INTEGER) - 1 AS class_id
       FROM documents d LEFT JOIN reviews r ON r.doc_id = d.doc_id""",
-    "pair_text": f"WITH {REVIEWS} SELECT doc_id, CAST(length({TEXT}) AS INTEGER) AS n_chars, md5({TEXT}) AS text_md5 FROM reviews",
+    "pair_text": f"WITH {ALL_REVIEWS} SELECT doc_id, CAST(length({TEXT}) AS INTEGER) AS n_chars, md5({TEXT}) AS text_md5 FROM reviews",
     "vocab_encode": f"""WITH {SPLIT}, {positions()}, {ENCODED} SELECT doc_id, count(*) AS n_tokens,
       count(*) FILTER (token_id = 1) AS n_unknown, CAST(sum(token_id * (pos + 1)) AS BIGINT) AS id_sum FROM enc GROUP BY doc_id""",
-    "truncate_seq": f"""WITH {SPLIT}, {positions()} SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens,
+    "truncate_seq": f"""WITH {ALL_REVIEWS}, lists AS (SELECT doc_id, {TOKENS.format(col=TEXT)} AS t FROM reviews) SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens,
       CAST(least(len(t), 256) AS INTEGER) AS n_kept, md5(array_to_string(t[1:256], ' ')) AS kept_md5 FROM lists""",
     "pad_batch": f"""WITH {SPLIT}, {positions('[1:256]')}, {ENCODED},
       rows AS (SELECT doc_id, count(*) AS len, sum(token_id) AS id_sum, (row_number() OVER (ORDER BY doc_id) - 1) // 64 AS batch

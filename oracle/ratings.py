@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.spam import REVIEWS, rank
+from oracle.spam import ALL_REVIEWS, REVIEWS, rank
 
 WORDS = r"regexp_extract_all(lower({col}), '[\p{{L}}\p{{N}}_]{{2,}}')"
 
@@ -137,13 +137,13 @@ SQL = {
     "weighted_votes": f"WITH {VOTES} SELECT doc_id, model_id, round(pred, 6) AS pred, round(weight, 6) AS weight FROM votes",
     "weighted_median": f"WITH {VOTES} SELECT doc_id, round(min(pred), 6) AS pred FROM cum WHERE c >= 0.5 * a GROUP BY doc_id",
     "tree_regressor": f"WITH {tree(20)}",
-    "json_roundtrip": f"""WITH {REVIEWS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, overall, summary, md5(review) AS review_md5 FROM reviews""",
-    "tsv_scan": f"""WITH {REVIEWS}, f AS (SELECT doc_id, {FLAT.format(col='review')} AS flat,
+    "json_roundtrip": f"""WITH {ALL_REVIEWS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, overall, summary, md5(review) AS review_md5 FROM reviews""",
+    "tsv_scan": f"""WITH {ALL_REVIEWS}, f AS (SELECT doc_id, {FLAT.format(col='review')} AS flat,
         trim({FLAT.format(col='summary')}) AS summary, overall FROM reviews),
       s AS (SELECT doc_id % 5 AS shape, CAST(doc_id AS VARCHAR) AS doc_id, flat, summary, overall FROM f)
       SELECT doc_id, md5(CASE shape WHEN 1 THEN rtrim(flat) WHEN 3 THEN 'short text' WHEN 4 THEN concat('"', flat) ELSE flat END) AS review_md5,
         CASE shape WHEN 1 THEN {EMPTY} WHEN 3 THEN {EMPTY} WHEN 4 THEN 'in "quotes"' ELSE summary END AS summary,
-        CASE shape WHEN 1 THEN {EMPTY} WHEN 3 THEN {EMPTY} WHEN 4 THEN '5"' ELSE overall END AS overall FROM s""",
+        CASE shape WHEN 1 THEN {EMPTY} WHEN 3 THEN {EMPTY} WHEN 4 THEN '5"' ELSE coalesce(overall, CASE shape WHEN 2 THEN '' END) END AS overall FROM s""",
     "metric_store": f"""WITH {BAGGED}, one AS ({line('(SELECT 0 AS k, doc_id, 1 AS multiplicity FROM train)', 'k')}),
       sole AS (SELECT t.y, o.slope * t.x + o.intercept AS pred FROM test t, one o),
       q AS (SELECT 'bagging' AS run, avg(abs(y - pred)) AS mae, sqrt(avg((y - pred) * (y - pred))) AS rmse FROM mean

@@ -12,6 +12,11 @@ REVIEWS = """reviews AS (
          CAST(1 + 2 * l.quality + (1 - l.toxic) + d.n_chars % 2 AS VARCHAR) AS overall, d.n_chars
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
+# The same with the documents that have no label.
+ALL_MAIL, ALL_REVIEWS = (
+    v.replace("JOIN labels", "LEFT JOIN labels").replace("ELSE 'spam'", "WHEN l.quality IS NOT NULL THEN 'spam'") for v in (MAIL, REVIEWS)
+)
+
 
 def kept(col: str) -> str:
     return rf"regexp_replace({col}, '[^\x00-\x7F]', '', 'g')"
@@ -109,7 +114,7 @@ BINARY = f"""{PAIRS}, c AS (SELECT count(*) FILTER (pred = 1 AND label = 1) AS t
 
 SQL = {
     "src_label_index": f"WITH {MAIL} SELECT label, concat('data/', doc_id) AS path FROM mail",
-    "mail_ingest": f"""WITH {MAIL}, m AS (
+    "mail_ingest": f"""WITH {ALL_MAIL}, m AS (
       SELECT concat('data/', doc_id) AS path, {domain()} AS sender,
              CASE doc_id % 4 WHEN 0 THEN body WHEN 1 THEN body WHEN 2 THEN concat('<p>', body, '</p>', body) ELSE '' END AS body
       FROM mail UNION ALL SELECT concat('pages/', page_id), '', html FROM pages)
@@ -118,12 +123,12 @@ SQL = {
       SELECT concat('data/', doc_id) AS path, label, sender,
              CASE doc_id % 4 WHEN 0 THEN body WHEN 1 THEN body WHEN 2 THEN concat('<p>', body, '</p>', body) ELSE '' END AS body
       FROM mail) SELECT path, label, CAST(len({features()}) AS INTEGER) AS n_features FROM m""",
-    "sender_domain": f"""WITH {MAIL} SELECT doc_id, {domain()} AS domain, split_part(sender, '>', 1) AS full_address,
+    "sender_domain": f"""WITH {ALL_MAIL} SELECT doc_id, {domain()} AS domain, split_part(sender, '>', 1) AS full_address,
       '' AS no_sender FROM mail""",
     "ascii_filter": f"""SELECT doc_id, CAST(length({kept('text')}) AS INTEGER) AS n_kept, md5({kept('text')}) AS kept_md5
       FROM documents""",
     "word_tokens": f"SELECT token, count(*) AS n FROM (SELECT unnest({mail_tokens('text')}) AS token FROM documents) GROUP BY token",
-    "mail_features": f"""WITH {MAIL}, f AS (SELECT doc_id, {features()} AS f FROM mail)
+    "mail_features": f"""WITH {ALL_MAIL}, f AS (SELECT doc_id, {features()} AS f FROM mail)
       SELECT doc_id, CAST(len(f) AS INTEGER) AS n_features, f[1] AS first_feature,
              md5(array_to_string(f, ' ')) AS features_md5 FROM f""",
     "label_index": f"WITH {MAIL} SELECT doc_id, label, CASE label WHEN 'ham' THEN 0 ELSE 1 END AS class_id FROM mail",

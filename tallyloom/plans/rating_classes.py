@@ -42,7 +42,7 @@ def rating_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paired(reviews(spark, sf_dir)).select(
+    return paired(reviews(spark, sf_dir, labelled=False)).select(
         "doc_id", F.length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5")
     )
 
@@ -74,7 +74,7 @@ def vocab_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def truncate_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = T.sequence_tokens(F.col("text"))
-    lists = paired(reviews(spark, sf_dir)).select("doc_id", tokens.alias("t"))
+    lists = paired(reviews(spark, sf_dir, labelled=False)).select("doc_id", tokens.alias("t"))
     kept = Q.truncated(F.col("t"))
     return lists.select(
         "doc_id",

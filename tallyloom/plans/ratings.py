@@ -260,7 +260,7 @@ REVIEW_FIELDS = ["doc_id", "review", "summary", "overall"]
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews written as JSON lines, and once more as JSON arrays, both read back."""
-    source = reviews(spark, sf_dir).select(F.col("doc_id").cast("string").alias("doc_id"), *REVIEW_FIELDS[1:])
+    source = reviews(spark, sf_dir, labelled=False).select(F.col("doc_id").cast("string").alias("doc_id"), *REVIEW_FIELDS[1:])
     lines, arrays = scratch(spark, "reviews-json"), scratch(spark, "reviews-array")
     S.write_json(source, lines)
     as_lines = spark.read.schema(S.string_schema(REVIEW_FIELDS)).json(lines)
@@ -271,9 +271,9 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tab_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of a review file: complete, short, with surplus fields, with trailing empty fields, with quotes."""
+    """Lines of a review file, an unrated one with an empty rating: complete, short, with surplus fields, with trailing empty fields, with quotes."""
     flat: Column = F.regexp_replace("review", r"\s+", " ")
-    fields = [F.col("doc_id").cast("string"), flat, F.regexp_replace("summary", r"\s+", " "), F.col("overall")]
+    fields = [F.col("doc_id").cast("string"), flat, F.regexp_replace("summary", r"\s+", " "), F.coalesce("overall", F.lit(""))]
     shape = F.col("doc_id") % 5
     line = (
         F.when(shape == 0, F.concat_ws("\t", *fields))
@@ -282,7 +282,7 @@ def tab_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 3, F.concat_ws("\t", fields[0], F.lit("short text"), F.lit(""), F.lit("")))
         .otherwise(F.concat_ws("\t", fields[0], F.concat(F.lit('"'), flat), F.lit('in "quotes"'), F.lit('5"')))
     )
-    return reviews(spark, sf_dir).select(line.alias("value"))
+    return reviews(spark, sf_dir, labelled=False).select(line.alias("value"))
 
 
 def tsv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         head = F.lit('MIME-Version: 1.0\r\nContent-Type: multipart/alternative; boundary="edge"\r\n\r\n')
         return F.concat(head, *[c for p in parts for c in (F.lit("--edge\r\n"), p)], F.lit("--edge--\r\n"))
 
-    messages = mail(spark, sf_dir)
+    messages = mail(spark, sf_dir, labelled=False)
     body, html = F.col("body"), F.concat(F.lit("<p>"), F.col("body"), F.lit("</p>"))
     shape = F.col("doc_id") % 4
     composed = (
@@ -103,7 +103,7 @@ def index_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sender_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     sender = F.col("sender")
-    return mail(spark, sf_dir).select(
+    return mail(spark, sf_dir, labelled=False).select(
         "doc_id",
         T.sender_feature(sender, "domain").alias("domain"),
         T.sender_feature(sender, "full").alias("full_address"),
@@ -124,7 +124,7 @@ def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mail_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = mail(spark, sf_dir).select("doc_id", T.mail_features(F.col("sender"), F.col("body")).alias("f"))
+    features = mail(spark, sf_dir, labelled=False).select("doc_id", T.mail_features(F.col("sender"), F.col("body")).alias("f"))
     return features.select(
         "doc_id",
         F.size("f").alias("n_features"),

@@ -24,24 +24,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, label, sender, body)`` with label ``ham`` or ``spam``."""
+def mail(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
+    """``(doc_id, label, sender, body)`` with label ``ham`` or ``spam``; on request also the mail without a label."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return docs.join(labels, "doc_id").select(
+    return docs.join(labels, "doc_id", "inner" if labelled else "left").select(
         "doc_id",
-        F.when(F.col("quality") == 1, "ham").otherwise("spam").alias("label"),
+        F.when(F.col("quality") == 1, "ham").when(F.col("quality").isNotNull(), "spam").alias("label"),
         F.concat(F.lit("user"), F.col("doc_id").cast("string"), F.lit("@"), F.col("source"), F.lit(".example>")).alias("sender"),
         F.col("text").alias("body"),
     )
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, review, summary, overall)``; ``overall`` is text, as in the review file."""
+def reviews(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
+    """``(doc_id, review, summary, overall)``; ``overall`` is text, as in the review file.
+
+    On request also the reviews that nobody rated, with a null ``overall``.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     labels = table(spark, sf_dir, "labels")
     overall = 1 + 2 * F.col("quality") + (1 - F.col("toxic")) + F.col("n_chars") % 2
-    return docs.join(labels, "doc_id").select(
+    return docs.join(labels, "doc_id", "inner" if labelled else "left").select(
         "doc_id",
         F.col("text").alias("review"),
         F.substring_index("text", "\n", 1).alias("summary"),
