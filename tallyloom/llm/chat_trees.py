@@ -150,9 +150,10 @@ def linear_threads(conversations: DataFrame) -> DataFrame:
     """Turn tables as reply trees in which each turn answers the one before.
 
     Rows are ordered by turn, role and text, nulls first, so repeated rows and
-    equal turn numbers have a defined place.
+    equal turn numbers have a defined place. ``tree`` is a struct of the ``conv_id``, so that the rows
+    with a null one are a conversation too. Other columns are ignored.
     """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = conversations.select("conv_id", "turn", "role", "text").withColumn("node", F.row_number().over(order).cast("bigint"))
     parent = F.when(F.col("node") > 1, F.col("node") - 1)
-    return rows.select(F.col("conv_id").alias("tree"), "node", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))
+    return rows.select(F.struct("conv_id").alias("tree"), "node", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))

@@ -38,7 +38,7 @@ def op2_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learned = F.array_join("loss_texts", "")
     return back.select(
-        F.col("tree").alias("conv_id"),
+        F.col("tree.conv_id").alias("conv_id"),
         F.size("turns").cast("bigint").alias("n_turns"),
         F.sha2(told, 256).alias("turns_sha256"),
         F.length(learned).cast("bigint").alias("loss_chars"),

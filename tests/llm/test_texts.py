@@ -56,12 +56,13 @@ def test_reply_trees_give_all_paths_and_the_best_branch(spark):
 
 
 def test_threads_read_back_what_was_said(spark):
-    rows = [(1, 0, "user", None), (1, 1, None, "x"), (1, 1, None, "x"), (1, 3, "assistant", "a</turn>\n### user: "), (1, 4, "assistant", ""), (None, 0, "user", "lost")]
+    rows = [(1, 0, "user", None), (1, 1, None, "x"), (1, 1, None, "x"), (1, 3, "assistant", "a</turn>\n### user: "), (1, 4, "assistant", ""), (None, 0, "user", "lost"), (None, 1, "assistant", "found")]
     rows += [(2, i, "assistant", f"{i} 😀") for i in range(70)]
     df = spark.createDataFrame([(*r, 5, "k") for r in rows], "conv_id long, turn long, role string, text string, node int, tree string")
-    got = {r.tree: r for r in read_back(chat_conversations(linear_threads(df))).collect()}
+    got = {r.tree.conv_id: r for r in read_back(chat_conversations(linear_threads(df))).collect()}
     assert [(t.role, t.text) for t in got[1].turns] == [("user", ""), ("", "x"), ("", "x"), ("assistant", rows[3][3]), ("assistant", "")]
-    assert got[1].loss_texts == [rows[3][3], ""] and got[2].loss_texts == [f"{i} 😀" for i in range(70)] and set(got) == {1, 2}
+    assert got[1].loss_texts == [rows[3][3], ""] and got[2].loss_texts == [f"{i} 😀" for i in range(70)] and set(got) == {1, 2, None}
+    assert [(t.role, t.text) for t in got[None].turns] == [("user", "lost"), ("assistant", "found")]
     assert chat_conversations(linear_threads(df.limit(0))).count() == 0
 
 
