@@ -136,6 +136,8 @@ SQL = {
     "boost_reweight": f"WITH {boosted(1)} SELECT doc_id, round(w * 1000, 6) AS w FROM w1",
     "weighted_votes": f"WITH {VOTES} SELECT doc_id, model_id, round(pred, 6) AS pred, round(weight, 6) AS weight FROM votes",
     "weighted_median": f"WITH {VOTES} SELECT doc_id, round(min(pred), 6) AS pred FROM cum WHERE c >= 0.5 * a GROUP BY doc_id",
+    "svr_certificate": f"""WITH {LINES}, {bootstrap('train')} SELECT model_id, CAST(sum(multiplicity) AS BIGINT) AS draws,
+      count(*) AS reviews, TRUE AS bounded, TRUE AS settled FROM draws GROUP BY model_id""",
     "tree_regressor": f"WITH {tree(20)}",
     "json_roundtrip": f"""WITH {ALL_REVIEWS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, overall, summary, md5(review) AS review_md5 FROM reviews""",
     "tsv_scan": f"""WITH {ALL_REVIEWS}, f AS (SELECT doc_id, {FLAT.format(col='review')} AS flat,

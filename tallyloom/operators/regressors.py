@@ -16,9 +16,10 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators.softmax import CONSTANT, SoftmaxLearner, Step, margins, with_constant
 from tallyloom.session import materialize
 
 
@@ -215,6 +216,73 @@ class VectorModel:
         return df.withColumn(out, linear("idx", "val"))
 
 
+@dataclass(frozen=True)
+class TableModel:
+    """Weights ``(place, w)`` of a linear model with too many places for one task; place -1 is the intercept."""
+
+    weights: DataFrame
+    row_id: str
+
+    def predict(self, df: DataFrame, out: str) -> DataFrame:
+        """Rows are told apart by the column ``row_id``."""
+        ids = df.select(F.col(self.row_id).alias("row_id"), F.explode_outer(F.arrays_zip("idx", "val")).alias("c"))
+        cells = ids.select("row_id", F.col("c.idx").alias("place"), "c.val").where("place is not null")
+        told = margins(with_constant(cells, df.select(F.col(self.row_id).alias("row_id"))), self.weights, 1)
+        return df.join(told.select(F.col("row_id").alias(self.row_id), F.col("m_0").alias(out)), self.row_id)
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Objective and dual objective of one model, half its squared gradient, and what smoothing costs."""
+
+    upper: float
+    lower: float
+    steep: float
+    smoothing: float
+
+
+@dataclass(frozen=True)
+class PlaceDescent(SoftmaxLearner):
+    """Descent on the smoothed absolute error; a "class" is a model, weighted by the ``times`` it drew a row."""
+
+    smooth: float = 0.5
+
+    def _evaluated(self, rows: DataFrame, cells: DataFrame, weights: DataFrame, fitted: int):
+        """Mean smoothed error, sums for :meth:`bounds`, and the slope as ``(place, slope)``."""
+        told = rows.join(margins(cells, weights, self.classes), "row_id", "left")
+        models, errors = range(self.classes), {}
+        for m in models:
+            gap, times = F.coalesce(f"m_{m}", F.lit(0.0)) - F.col("label"), F.get("times", F.lit(m))
+            root = F.sqrt(gap * gap + F.lit(self.smooth * self.smooth))
+            errors |= {f"r_{m}": times * gap / root, f"soft_{m}": times * (root - F.lit(self.smooth)), f"hard_{m}": times * F.abs(gap)}
+            errors |= {f"label_{m}": times * gap / root * F.col("label"), f"gap_{m}": times * gap * gap / root}
+        seen, sums = Observation(), ("soft", "hard", "label", "gap")
+        scored = told.select("row_id", *[c.alias(name) for name, c in errors.items()])
+        scored = scored.observe(seen, *[F.sum(f"{s}_{m}").alias(f"{s}_{m}") for s in sums for m in models])
+        slopes = [F.col(f"r_{m}") for m in models]
+        scored = materialize(scored.select("row_id", *slopes), "residuals")
+        back = cells.join(scored, "row_id").groupBy("place")
+        slope = back.agg(F.array(*[F.sum(F.col("val") * r) / F.lit(float(fitted)) for r in slopes]).alias("slope"))
+        told = {s: [seen.get[f"{s}_{m}"] for m in models] for s in sums}
+        return sum(told["soft"]) / fitted, told, slope
+
+    def bounds(self, step: Step, c: float, n: int) -> list[Bounds]:
+        """How far every model is from its minimum; the table of a step holds gradients of the mean error with penalty."""
+        sums = []
+        for m in range(self.classes):
+            w, g = F.get("w", F.lit(m)), F.get("g", F.lit(m))
+            plain = g - F.lit(self.penalty) * w
+            sums += [F.sum(w * w).alias(f"w_{m}"), F.sum(g * g).alias(f"g_{m}"), F.sum(plain * plain).alias(f"p_{m}")]
+        row, found = step.table.agg(*sums).first(), []
+        for m in range(self.classes):
+            seen = {name: values[m] for name, values in step.watched.items()}
+            lower = dual_bound((c * n) ** 2 * row[f"p_{m}"], c * seen["label"])[1]
+            found.append(Bounds(
+                0.5 * row[f"w_{m}"] + c * seen["hard"], lower, 0.5 * (c * n) ** 2 * row[f"g_{m}"], c * (seen["hard"] - seen["gap"])
+            ))
+        return found
+
+
 def _blocks(models: int, label: str):
     """Turn a batch of packed rows into one row of binary columns in compressed sparse form."""
 
@@ -245,11 +313,18 @@ TASK_BYTES = 4 << 20
 # Partition sums up to this size in total go to the driver at once, larger ones in a tree.
 DIRECT_BYTES = 128 << 20
 
+# Weights of all models up to this size are matrices; the driver holds some 45 of them.
+WEIGHT_BYTES = 8 << 20
+
 BLOCK = "idx binary, val binary, counts binary, y binary, weight binary"
 
 
-def _loss_and_gradient(block, weights: np.ndarray, smooth: float) -> tuple[np.ndarray, np.ndarray]:
-    """Weighted smoothed absolute loss of every model and its gradient on one block."""
+def _sums_and_gradient(block, weights: np.ndarray, smooth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over one block for every model and the gradient of the first of them.
+
+    The sums are the weighted smoothed error, the weighted absolute error, and
+    the products of slopes with labels and with errors, which the dual objective needs.
+    """
     places, models = weights.shape
     idx = np.frombuffer(block["idx"], np.int32)
     val = np.frombuffer(block["val"], np.float64)
@@ -258,39 +333,52 @@ def _loss_and_gradient(block, weights: np.ndarray, smooth: float) -> tuple[np.nd
     weight = np.frombuffer(block["weight"], np.float64).reshape(len(y), models)
     owner = np.repeat(np.arange(len(y)), counts)
     gradient = np.zeros((places, models))
-    loss = np.zeros(models)
+    sums = np.zeros((4, models))
     for m in range(models):
         fitted = np.bincount(owner, val * weights[idx, m], minlength=len(y)) + weights[-1, m]
         gap = fitted - y
-        root = np.sqrt(gap * gap + smooth * smooth)
-        loss[m] = (weight[:, m] * (root - smooth)).sum()
+        root = np.sqrt(gap * gap + smooth[m] * smooth[m])
         slope = weight[:, m] * gap / root
+        sums[:, m] = (weight[:, m] * (root - smooth[m])).sum(), (weight[:, m] * np.abs(gap)).sum(), slope @ y, slope @ gap
         gradient[:, m] = np.bincount(idx, val * slope[owner], minlength=places)
         gradient[-1, m] += slope.sum()
-    return loss, gradient
+    return sums, gradient
 
 
 def _add(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return a[0] + b[0], a[1] + b[1]
 
 
-def _summed(blocks, weights: np.ndarray, smooth: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """One loss and one gradient per partition; none for an empty partition."""
-    parts = (_loss_and_gradient(b, weights, smooth) for b in blocks)
+def _summed(blocks, weights: np.ndarray, smooth: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sums and one gradient per partition; none for an empty partition."""
+    parts = (_sums_and_gradient(b, weights, smooth) for b in blocks)
     first = next(parts, None)
     if first is not None:
         yield reduce(_add, parts, first)
 
 
+def dual_bound(square: float, product: float) -> tuple[float, float]:
+    """Share of the slopes, at most 1, that gives the highest dual objective, and that objective."""
+    scale = min(max(-product / square, 0.0), 1.0) if square else 0.0
+    return scale, -0.5 * scale * scale * square - scale * product
+
+
 class _Descent:
-    """Limited-memory quasi-Newton state of one model."""
+    """Limited-memory quasi-Newton state of one model and the bounds of its unsmoothed objective.
+
+    Every pass gives a point of the objective (``upper``) and, by its slopes, a
+    point of the dual (``lower``). Their distance is half the squared gradient
+    of the smoothed objective plus what smoothing costs; when the second part is
+    the larger one, the error is smoothed less.
+    """
 
-    def __init__(self, start: np.ndarray, memory: int = 20):
-        self.point = start
+    def __init__(self, start: np.ndarray, smooth: float, memory: int = 20):
+        self.point, self.smooth = start, smooth
         self.value, self.slope = None, None
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
         self.memory, self.step, self.direction = memory, 1.0, np.zeros(len(start))
-        self.history: list[float] = []
+        self.upper, self.best = math.inf, start
+        self.lower, self.dual_point, self.dual_smooth, self.dual_scale = -math.inf, start, smooth, 0.0
         self.done = False
 
     def trial(self) -> np.ndarray:
@@ -311,43 +399,55 @@ class _Descent:
             q += (a - (y @ q) / (s @ y)) * s
         self.direction, self.step = -q, 1.0
 
-    def observe(self, value: float, slope: np.ndarray, tolerance: float) -> None:
-        """Take the value and gradient at the trial point: move there, or shorten the step."""
-        if self.value is None:
-            self.value, self.slope = value, slope
-            self.history.append(value)
-            self._turn()
+    def observe(self, sums: np.ndarray, gradient: np.ndarray, c: float, tolerance: float) -> None:
+        """Take the sums and their gradient at the trial point: move there, or shorten the step."""
+        at = self.trial()
+        square = 0.5 * float(at @ at)
+        value, slope = square + c * sums[0], at + c * gradient
+        upper, (scale, lower) = square + c * sums[1], dual_bound(c * c * float(gradient @ gradient), c * sums[2])
+        if upper < self.upper:
+            self.upper, self.best = upper, at
+        if lower > self.lower:
+            self.lower, self.dual_point, self.dual_smooth, self.dual_scale = lower, at, self.smooth, scale
+        if self.upper - self.lower <= tolerance * self.upper:
+            self.done = True
             return
-        if value > self.value + 1e-4 * self.step * (self.slope @ self.direction):
-            self.step /= 2
-            self.done = self.step < 1e-8
-            return
-        moved, bend = self.step * self.direction, slope - self.slope
-        if moved @ bend > 1e-12:
-            self.pairs = [*self.pairs, (moved, bend)][-self.memory:]
-        self.point, self.value, self.slope = self.point + moved, value, slope
-        self.history.append(value)
-        recent = self.history[-6:]
-        self.done = len(recent) == 6 and recent[0] - value <= tolerance * max(1.0, abs(value))
-        self._turn()
+        if self.value is not None:
+            # Near the minimum the fall is smaller than the rounding of a sum over all rows.
+            allowed = 1e-4 * self.step * (self.slope @ self.direction) + 1e-12 * abs(self.value)
+            if value > self.value + allowed and self.step > 1e-8:
+                self.step /= 2
+                return
+            moved, bend = at - self.point, slope - self.slope
+            if moved @ bend > 1e-12:
+                self.pairs = [*self.pairs, (moved, bend)][-self.memory:]
+        self.point, self.value, self.slope = at, value, slope
+        if 0.5 * float(slope @ slope) < c * (sums[1] - sums[3]):
+            # The next pass looks at the same point with another objective.
+            self.smooth /= 2
+            self.value, self.direction = None, np.zeros(len(at))
+        else:
+            self._turn()
 
 
 @dataclass(frozen=True)
 class SupportVectorLearner:
     """Linear support-vector regression: ``|w|**2 / 2 + c * sum of absolute errors``.
 
-    The absolute error is smoothed to ``sqrt(r**2 + smooth**2)``. All models
-    share every pass; a pass sends out one weight matrix of bounded size and
-    brings back loss and gradient summed up. A model is finished when five steps
-    together gain less than ``tolerance`` of its objective; ``fit`` fails when the
-    passes run out first.
+    The descent smooths the absolute error to ``sqrt(r**2 + smooth**2) - smooth``, less
+    and less. A model is finished when its objective is proven to be within
+    ``tolerance`` of the minimum: the slopes of the errors are a point of the
+    dual, whose objective no model can go below. All models share every pass; a
+    pass sends out one weight matrix and brings back the gradient summed up.
+    Weights over ``WEIGHT_BYTES`` never reach the driver: :class:`PlaceDescent` then
+    keeps them as a table by place. ``fit`` fails when the passes run out.
     """
 
     places: int
     c: float = 1.0
-    smooth: float = 0.05
+    smooth: float = 0.5
     passes: int = 400
-    tolerance: float = 5e-3
+    tolerance: float = 0.01
 
     def descend(
         self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near: VectorModel | None = None
@@ -363,32 +463,86 @@ class SupportVectorLearner:
             start = np.append(np.zeros(self.places), train.agg(F.avg(label)).first()[0])
         else:
             start = near.weights
-        states = [_Descent(start.copy()) for _ in range(models)]
-        smooth = self.smooth
+        states = [_Descent(start.copy(), self.smooth) for _ in range(models)]
         for _ in range(self.passes):
-            points = np.stack([s.trial() for s in states], axis=1)
+            points, smooth = np.stack([s.trial() for s in states], axis=1), np.array([s.smooth for s in states])
             shared = sc.broadcast(points)
-            parts = blocks.mapPartitions(lambda rows, w=shared: _summed(rows, w.value, smooth))
+            parts = blocks.mapPartitions(lambda rows, w=shared, e=smooth: _summed(rows, w.value, e))
             if direct:
-                loss, gradient = parts.reduce(_add)
+                sums, gradient = parts.reduce(_add)
             else:
                 # Four sums at a time, so that only a handful of gradients reach the driver.
-                loss, gradient = parts.treeReduce(_add, max(2, math.ceil(math.log(blocks.getNumPartitions(), 4))))
+                sums, gradient = parts.treeReduce(_add, max(2, math.ceil(math.log(blocks.getNumPartitions(), 4))))
             shared.destroy()
             for m, state in enumerate(states):
                 if not state.done:
-                    value = self.c * loss[m] + 0.5 * float(points[:, m] @ points[:, m])
-                    state.observe(value, self.c * gradient[:, m] + points[:, m], self.tolerance)
+                    state.observe(sums[:, m], gradient[:, m], self.c, self.tolerance)
             if all(s.done for s in states):
                 break
         blocks.unpersist()
         return states
 
-    def fit(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near=None) -> list[VectorModel]:
+    def settled(
+        self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near: VectorModel | None = None
+    ) -> list[_Descent]:
+        """Finished states only."""
         states = self.descend(train, draws, row_id, label, models, near)
         if not all(s.done for s in states):
             raise RuntimeError(f"support-vector descent not finished after {self.passes} passes")
-        return [VectorModel(s.point) for s in states]
+        return states
+
+    def fit(self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near=None) -> list[VectorModel | TableModel]:
+        if (self.places + 1) * models * 8 > WEIGHT_BYTES:
+            return self.fit_table(train, draws, row_id, label, models, near)
+        return [VectorModel(s.best) for s in self.settled(train, draws, row_id, label, models, near)]
+
+    def fit_table(
+        self, train: DataFrame, draws: DataFrame, row_id: str, label: str, models: int, near: TableModel | None = None
+    ) -> list[TableModel]:
+        """The same models with weights, gradients and past steps as tables by place.
+
+        Rows with equal numbers of draws in all models, and models in the same passes,
+        share the joins; the smoothing of all models is lowered together.
+        """
+        times = [F.sum(F.when(F.col("model_id") == m, F.col("multiplicity")).otherwise(0)).cast("double") for m in range(models)]
+        drawn = draws.groupBy(row_id).agg(F.array(*times).alias("times"))
+        rows = train.select(row_id, "idx", "val", F.col(label).cast("double").alias("label")).join(drawn, row_id)
+        rows = materialize(rows.withColumnRenamed(row_id, "row_id").withColumn("fit", F.lit(True)), "svr-rows")
+        cells = rows.select("row_id", F.explode(F.arrays_zip("idx", "val")).alias("c")).select("row_id", F.col("c.idx").alias("place"), "c.val")
+        cells = materialize(with_constant(cells, rows), "svr-cells")
+        rows, n = rows.drop("idx", "val"), rows.count()
+        spark = train.sparkSession
+        if near is None:
+            middle = [float(rows.agg(F.avg("label")).first()[0])] * models
+            start = spark.createDataFrame([(CONSTANT, middle)], "place bigint, w array<double>")
+        else:
+            start = near.weights
+        smooth, used = self.smooth, 0
+        while used < self.passes:
+            descent = PlaceDescent(models, 1.0 / (self.c * n), tolerance=0.0, smooth=smooth)
+            for step in descent.path(rows, cells, start):
+                used += 1
+                start, bounds = step.weights, descent.bounds(step, self.c, n)
+                if all(b.upper - b.lower <= self.tolerance * b.upper for b in bounds):
+                    return [TableModel(start.select("place", F.array(F.get("w", F.lit(m))).alias("w")), row_id) for m in range(models)]
+                if used >= self.passes or all(b.steep < b.smoothing for b in bounds):
+                    break
+            smooth /= 2
+        raise RuntimeError(f"support-vector descent not finished after {self.passes} passes")
+
+    def duals(self, states: Sequence[_Descent], train: DataFrame, draws: DataFrame, row_id: str, label: str) -> DataFrame:
+        """``(row_id, model_id, multiplicity, a)``: the dual variable of every drawn row, between minus and plus ``c * multiplicity``."""
+        smooth, scale = (
+            F.get(F.array(*[F.lit(float(getattr(s, c))) for s in states]), F.col("model_id")) for c in ("dual_smooth", "dual_scale")
+        )
+        points = predictions([VectorModel(s.dual_point) for s in states], train, row_id)
+        gap = F.col("pred") - F.col(label)
+        slope = scale * gap / F.sqrt(gap * gap + smooth * smooth)
+        return (
+            points.join(draws, [row_id, "model_id"])
+            .join(train.select(row_id, label), row_id)
+            .select(row_id, "model_id", "multiplicity", (F.lit(self.c) * F.col("multiplicity") * slope).alias("a"))
+        )
 
 
 def learner(name: str, *, max_depth: int | None = None, places: int | None = None):

@@ -27,14 +27,18 @@ VECTORS = "place bigint, w array<double>, g array<double>, past array<double>"
 
 @dataclass(frozen=True)
 class Step:
-    """State after a step: weights ``(place, w)``, objective, gradient norm, and mean loss on the watched rows, if any."""
+    """State after a step: ``(place, w, g)``, objective, gradient norm, and mean loss on the watched rows, if any."""
 
     number: int
-    weights: DataFrame
+    table: DataFrame
     objective: float
     norm: float
     watched: float | None
 
+    @property
+    def weights(self) -> DataFrame:
+        return self.table.select("place", "w")
+
 
 class NotSettled(RuntimeError):
     """The passes ran out before the gradient was small enough."""
@@ -187,7 +191,7 @@ class SoftmaxLearner:
             gram = sum(np.asarray(r.gram) for r in table.mapInArrow(_products(self.classes), "gram array<double>").collect())
             gram = gram.reshape(int(len(gram) ** 0.5), -1)
             objective, norm = loss + self.penalty / 2 * gram[-1, -1], float(np.sqrt(gram[-2, -2]))
-            yield Step(number, table.select("place", "w"), objective, norm, watched)
+            yield Step(number, table.select("place", "w", "g"), objective, norm, watched)
             if norm <= self.tolerance:
                 return
             direction = downhill(gram)

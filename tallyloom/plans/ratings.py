@@ -9,7 +9,7 @@ from tallyloom.functions import text as T
 from tallyloom.operators import ensembles as E
 from tallyloom.operators import metrics, sampling, tfidf
 from tallyloom.operators.naive_bayes import counted, occurrences
-from tallyloom.operators.regressors import learner, predictions
+from tallyloom.operators.regressors import VectorModel, learner, predictions
 from tallyloom.plans.views import reviews, table
 from tallyloom.session import materialize, scratch
 from tallyloom.sources import tables as S
@@ -20,8 +20,6 @@ MODELS = 5
 RATIO = 0.8
 ROUNDS = 3
 MAX_DEPTH = 20
-# Labelled reviews that the text learners fit at most.
-FIT_ROWS = 50_000
 
 
 def split_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,19 +160,10 @@ def weighted_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_reviews(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tfidf.Vocabulary, int]:
-    """``(doc_id, part, y, idx, val)`` with part ``fit``, ``train`` or ``test``, the numbered vocabulary and its places.
-
-    The learners fit at most ``FIT_ROWS`` training reviews, those of the smallest
-    hashes, and know the tokens of these. Frequencies count all training reviews.
-    """
+    """``(doc_id, part, y, idx, val)`` with part ``train`` or ``test``, the numbered vocabulary of the training reviews and its places."""
     split = split_reviews(spark, sf_dir).withColumn("y", T.rating(F.col("overall")))
-    key = F.xxhash64(F.lit(SEED), "doc_id")
-    # Ids only, at most FIT_ROWS of them.
-    chosen = materialize(split.where("is_train").select("doc_id").orderBy(key, "doc_id").limit(FIT_ROWS), "fit-rows")
-    part = F.when(F.col("chosen"), "fit").when(F.col("is_train"), "train").otherwise("test")
-    split = split.join(F.broadcast(chosen.withColumn("chosen", F.lit(True))), "doc_id", "left").withColumn("part", part)
-    known = split.where("part = 'fit'").select(F.explode(T.word_tokens(F.col("review"))).alias("token"))
-    vocabulary, places = tfidf.numbered(tfidf.narrowed(train_vocabulary(split), known))
+    split = split.withColumn("part", F.when(F.col("is_train"), "train").otherwise("test"))
+    vocabulary, places = tfidf.numbered(train_vocabulary(split))
     lists = tfidf.packed(review_tokens(split), vocabulary, "doc_id")
     rows = materialize(split.select("doc_id", "part", "y").join(lists, "doc_id", "left"), "text-features")
     return rows, vocabulary, places
@@ -184,7 +173,7 @@ def text_features(spark: SparkSession, sf_dir: str, base: str) -> tuple[DataFram
     """Rows to fit, test rows and the base learner for ``svr`` or ``tree``."""
     rows, _, places = packed_reviews(spark, sf_dir)
     fitted = learner("tree", max_depth=MAX_DEPTH) if base == "tree" else learner("svr", places=places)
-    return rows.where("part = 'fit'"), rows.where("part = 'test'"), fitted
+    return rows.where("part = 'train'"), rows.where("part = 'test'"), fitted
 
 
 def text_model(train: DataFrame, test: DataFrame, fitted, method: str) -> DataFrame:
@@ -205,6 +194,43 @@ def linear_svr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_model(*text_features(spark, sf_dir, "svr"), "single")
 
 
+def svr_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof that bagged support-vector models stand within 1 % of their minimum.
+
+    ``(model_id, draws, reviews, bounded, settled)``. Weights and one dual variable
+    per drawn review are stored and read back; objective and dual objective
+    are summed from these tables alone. A dual variable never exceeds the
+    penalty of its draws, and the dual objective is below every objective, so
+    a small gap proves the model.
+    """
+    train, _, fitted = text_features(spark, sf_dir, "svr")
+    draws = materialize(sampling.bootstrap(train, "doc_id", RATIO, MODELS, SEED), "draws")
+    states = fitted.settled(train, draws, "doc_id", "y", MODELS)
+    path = scratch(spark, "certificate")
+    S.save_models(spark, [VectorModel(s.best) for s in states], [1.0] * MODELS, path)
+    fitted.duals(states, train, draws, "doc_id", "y").write.parquet(f"{path}/duals")
+    duals = spark.read.parquet(f"{path}/duals")
+    weights = spark.read.parquet(f"{path}/VectorModel")
+    models, _ = S.load_models(spark, path)
+    gaps = predictions(models, train, "doc_id").join(duals, ["doc_id", "model_id"]).join(train.select("doc_id", "y"), "doc_id")
+    told = gaps.groupBy("model_id").agg(
+        F.sum("multiplicity").alias("draws"),
+        F.count("*").alias("reviews"),
+        F.every(F.abs("a") <= fitted.c * F.col("multiplicity") + 1e-9).alias("bounded"),
+        F.sum(fitted.c * F.col("multiplicity") * F.abs(F.col("pred") - F.col("y"))).alias("errors"),
+        F.sum(F.col("a") * F.col("y")).alias("product"),
+        F.sum("a").alias("constant"),
+    )
+    cells = train.select("doc_id", F.explode(F.arrays_zip("idx", "val")).alias("c")).join(duals.select("doc_id", "model_id", "a"), "doc_id")
+    combined = cells.groupBy("model_id", "c.idx").agg(F.sum(F.col("a") * F.col("c.val")).alias("v"))
+    combined = combined.groupBy("model_id").agg(F.sum(F.col("v") * F.col("v")).alias("combined"))
+    square = weights.groupBy("model_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("square"))
+    upper = 0.5 * F.col("square") + F.col("errors")
+    lower = -0.5 * (F.col("combined") + F.col("constant") * F.col("constant")) - F.col("product")
+    settled = (upper - lower <= (fitted.tolerance + 1e-9) * upper) & (lower <= upper)
+    return told.join(combined, "model_id").join(square, "model_id").select("model_id", "draws", "reviews", "bounded", settled.alias("settled"))
+
+
 def tree_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_model(*text_features(spark, sf_dir, "tree"), "single")
 
@@ -234,7 +260,7 @@ def model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``(base, doc_id, model_id, pred)``.
     """
     rows, vocabulary, places = packed_reviews(spark, sf_dir)
-    fit_rows = rows.where("part = 'fit'")
+    fit_rows = rows.where("part = 'train'")
     lines, _ = lined(spark, sf_dir)
     path = scratch(spark, "models")
     for base, train in (("line", lines), ("svr", fit_rows), ("tree", fit_rows)):
@@ -322,6 +348,7 @@ QUERIES = {
     "weighted_votes": weighted_votes,
     "weighted_median": weighted_median,
     "linear_svr": linear_svr,
+    "svr_certificate": svr_certificate,
     "tree_regressor": tree_regressor,
     "bagging": bagging,
     "adaboost": adaboost,

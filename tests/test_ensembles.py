@@ -158,36 +158,79 @@ def sparse_rows(spark):
     return rows, spark.createDataFrame(rows, "row long, idx array<int>, val array<double>, y double").repartition(4)
 
 
+def objective(rows, w, weight):
+    gap = np.array([(w[i] @ np.array(v) if i else 0) + w[-1] - y for _, i, v, y in rows])
+    return weight * np.abs(gap).sum() + 0.5 * w @ w
+
+
+def two_weights(train):
+    both = F.explode(F.array(F.lit(0), F.lit(1))).alias("model_id")
+    return train.select("row", both).withColumn("multiplicity", F.col("model_id") + F.lit(1).cast("bigint"))
+
+
 def test_support_vector_descent(spark):
     rows, train = sparse_rows(spark)
-    draws = train.select("row", F.explode(F.array(F.lit(0), F.lit(1))).alias("model_id")).withColumn("multiplicity", F.col("model_id") + F.lit(1).cast("bigint"))
+    draws = two_weights(train)
     learner = G.SupportVectorLearner(30)
     states = learner.descend(train, draws, "row", "y", 2)
-    for weight, s in enumerate(states, start=1):
-        assert all(a >= b for a, b in zip(s.history, s.history[1:]))
-        w = s.point
-        gap = np.array([(w[i] @ np.array(v) if i else 0) + w[-1] - y for _, i, v, y in rows])
-        value = weight * (np.sqrt(gap**2 + 0.05**2) - 0.05).sum() + 0.5 * w @ w
-        assert value == pytest.approx(s.value)
-        # No nearby point is better by more than the stop rule allows.
+    duals = learner.duals(states, train, draws, "row", "y").collect()
+    assert len(duals) == 2 * len(rows)
+    by_row = {r[0]: r for r in rows}
+    for m, s in enumerate(states):
+        assert s.done and objective(rows, s.best, m + 1) == pytest.approx(s.upper)
+        # The dual objective, recomputed from the dual variables, bounds every point from below.
+        combined, product = np.zeros(31), 0.0
+        for d in (d for d in duals if d.model_id == m):
+            assert abs(d.a) <= (m + 1) * (1 + 1e-12)
+            _, idx, val, y = by_row[d.row]
+            if idx:
+                np.add.at(combined, idx, d.a * np.array(val))
+            combined[-1] += d.a
+            product += d.a * y
+        lower = -0.5 * combined @ combined - product
+        assert lower == pytest.approx(s.lower)
+        assert lower <= s.upper <= lower / 0.99 + 1e-9
         rng = np.random.default_rng(0)
-        for _ in range(50):
-            v = w + rng.normal(size=w.size) * 0.02
-            g = np.array([(v[i] @ np.array(x) if i else 0) + v[-1] - y for _, i, x, y in rows])
-            assert weight * (np.sqrt(g**2 + 0.05**2) - 0.05).sum() + 0.5 * v @ v > value * 0.99
-    preds = G.predictions([G.VectorModel(s.point) for s in states], train, "row").where("model_id = 0").collect()
+        assert all(objective(rows, s.best + rng.normal(size=31) * 0.02, m + 1) >= lower for _ in range(50))
+    preds = G.predictions([G.VectorModel(s.best) for s in states], train, "row").where("model_id = 0").collect()
     got = {r.row: r.pred for r in preds}
-    assert got[200] == pytest.approx(states[0].point[-1])
+    assert got[200] == pytest.approx(states[0].best[-1])
     assert np.mean([abs(got[r[0]] - r[3]) for r in rows]) < 0.2
 
 
+def test_weights_as_a_table_reach_the_same_minimum(spark, monkeypatch, tmp_path):
+    rows, train = sparse_rows(spark)
+    learner = G.SupportVectorLearner(30, tolerance=0.05)
+    dense = learner.descend(train, two_weights(train), "row", "y", 2)
+    monkeypatch.setattr(G, "WEIGHT_BYTES", 0)
+    models = learner.fit(train, two_weights(train), "row", "y", 2)
+    assert all(type(m) is G.TableModel for m in models)
+    for i, (model, state) in enumerate(zip(models, dense)):
+        w = np.zeros(31)
+        for r in model.weights.collect():
+            w[r.place] = r.w[0]
+        assert state.lower <= objective(rows, w, i + 1) + 1e-9
+        assert objective(rows, w, i + 1) <= state.upper / 0.95 + 1e-9
+    S.save_models(spark, models, [1.0, 0.5], str(tmp_path))
+    loaded, votes = S.load_models(spark, str(tmp_path))
+    assert votes == [1.0, 0.5]
+    want = {tuple(r) for r in G.predictions(models, train, "row").collect()}
+    assert {tuple(r) for r in G.predictions(loaded, train, "row").collect()} == want and len(want) == 2 * len(rows)
+
+
 def test_large_gradients_are_summed_in_a_tree(spark, monkeypatch):
     _, train = sparse_rows(spark)
     draws = train.select("row", F.lit(0).alias("model_id"), F.lit(1).cast("bigint").alias("multiplicity"))
-    one = G.SupportVectorLearner(30, passes=5).descend(train, draws, "row", "y", 1)[0].value
+    one = G.SupportVectorLearner(30, passes=5).descend(train, draws, "row", "y", 1)[0].upper
     monkeypatch.setattr(G, "DIRECT_BYTES", 0)
     monkeypatch.setattr(G, "TASK_BYTES", 1000)
-    assert G.SupportVectorLearner(30, passes=5).descend(train, draws, "row", "y", 1)[0].value == pytest.approx(one)
+    assert G.SupportVectorLearner(30, passes=5).descend(train, draws, "row", "y", 1)[0].upper == pytest.approx(one)
+
+
+def test_too_few_passes_are_an_error(spark):
+    _, train = sparse_rows(spark)
+    with pytest.raises(RuntimeError):
+        G.SupportVectorLearner(30, passes=3).fit(train, two_weights(train), "row", "y", 2)
 
 
 def tree_rows(spark):
