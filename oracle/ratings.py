@@ -86,28 +86,72 @@ votes AS (SELECT t.doc_id, m.model_id, m.slope * t.x + m.intercept AS pred, m.we
 cum AS (SELECT doc_id, pred, sum(weight) OVER (PARTITION BY doc_id ORDER BY pred, model_id) AS c,
         sum(weight) OVER (PARTITION BY doc_id) AS a FROM votes)"""
 
-def tree(depth: int, steps: int = 64) -> str:
-    """A regression tree grown on all training reviews, one level after the other; test reviews walk along."""
+CELLS = f"""{IDF},
+cells AS MATERIALIZED (SELECT doc_id, token, least(greatest(CAST(ceil(round(m * idf / norm * 64, 6)) AS INTEGER), 1), 64) AS step
+  FROM (SELECT tf.*, idf, sqrt(sum(m * idf * m * idf) OVER (PARTITION BY doc_id)) AS norm FROM tf JOIN idf ON idf.token = tf.token)),
+rated AS (SELECT doc_id, is_train, CAST(overall AS DOUBLE) AS y FROM split)"""
+
+
+def trees(name: str, draws: str, depth: int) -> str:
+    """``name(model_id, doc_id, fit, y, pred)``: trees grown level by level on ``draws(model_id, doc_id, multiplicity)``.
+
+    Test reviews walk along without a weight.
+    """
     parts = [
-        IDF,
-        f"""cells AS MATERIALIZED (SELECT doc_id, is_train, token, least(greatest(CAST(ceil(round(m * idf / norm * {steps}, 6)) AS INTEGER), 1), {steps}) AS step
-  FROM (SELECT tf.*, idf, sqrt(sum(m * idf * m * idf) OVER (PARTITION BY doc_id)) AS norm FROM tf JOIN idf ON idf.token = tf.token))""",
-        "at0 AS MATERIALIZED (SELECT doc_id, is_train, CAST(overall AS DOUBLE) AS y, CAST(1 AS BIGINT) AS node, TRUE AS open, CAST(NULL AS DOUBLE) AS pred FROM split)",
+        f"""{name}_at0 AS MATERIALIZED (
+  SELECT model_id, doc_id, TRUE AS fit, y, CAST(multiplicity AS DOUBLE) AS m, CAST(1 AS BIGINT) AS node, TRUE AS open, CAST(NULL AS DOUBLE) AS pred
+  FROM {draws} JOIN rated USING (doc_id)
+  UNION ALL SELECT model_id, doc_id, FALSE, y, 0, 1, TRUE, NULL FROM rated, (SELECT DISTINCT model_id FROM {draws}) WHERE NOT is_train)"""
     ]
     for i in range(depth + 1):
+        at, whole, right, best = (f"{name}_{part}{i}" for part in ("at", "whole", "right", "best"))
         parts.append(
-            f"""whole{i} AS MATERIALIZED (SELECT node, count(*)::DOUBLE AS n, sum(y) AS s, min(y) < max(y) AS mixed FROM at{i} WHERE is_train AND open GROUP BY node),
-right{i} AS (SELECT node, token, step, sum(sum(1.0::DOUBLE)) OVER above AS nr, sum(sum(y)) OVER above AS sr
-  FROM at{i} a JOIN cells c ON c.doc_id = a.doc_id WHERE a.is_train AND open GROUP BY node, token, step
-  WINDOW above AS (PARTITION BY node, token ORDER BY step DESC)),
-best{i} AS MATERIALIZED (SELECT node, token, step FROM right{i} JOIN whole{i} USING (node) WHERE mixed AND nr < n AND {i} < {depth}
-  QUALIFY row_number() OVER (PARTITION BY node ORDER BY sr * sr / nr + (s - sr) * (s - sr) / (n - nr) DESC, token, step) = 1),
-at{i + 1} AS MATERIALIZED (SELECT a.doc_id, a.is_train, a.y, a.open AND b.node IS NOT NULL AS open, CASE WHEN a.open THEN s / n ELSE a.pred END AS pred,
+            f"""{whole} AS MATERIALIZED (SELECT model_id, node, sum(m) AS n, sum(m * y) AS s, min(y) < max(y) AS mixed FROM {at} WHERE fit AND open
+  GROUP BY model_id, node),
+{right} AS (SELECT model_id, node, token, step, sum(sum(m)) OVER above AS nr, sum(sum(m * y)) OVER above AS sr
+  FROM {at} a JOIN cells c ON c.doc_id = a.doc_id WHERE a.fit AND open GROUP BY model_id, node, token, step
+  WINDOW above AS (PARTITION BY model_id, node, token ORDER BY step DESC)),
+{best} AS MATERIALIZED (SELECT model_id, node, token, step FROM {right} JOIN {whole} USING (model_id, node) WHERE mixed AND nr < n AND {i} < {depth}
+  QUALIFY row_number() OVER (PARTITION BY model_id, node ORDER BY sr * sr / nr + (s - sr) * (s - sr) / (n - nr) DESC, token, step) = 1),
+{name}_at{i + 1} AS MATERIALIZED (SELECT a.model_id, a.doc_id, a.fit, a.y, a.m, a.open AND b.node IS NOT NULL AS open,
+    CASE WHEN a.open THEN s / n ELSE a.pred END AS pred,
     CASE WHEN a.open AND b.node IS NOT NULL THEN 2 * a.node + CASE WHEN c.step >= b.step THEN 1 ELSE 0 END ELSE a.node END AS node
-  FROM at{i} a LEFT JOIN whole{i} w ON w.node = a.node LEFT JOIN best{i} b ON b.node = a.node
-  LEFT JOIN cells c ON c.doc_id = a.doc_id AND c.token = b.token)"""
+  FROM {at} a LEFT JOIN {whole} w ON w.model_id = a.model_id AND w.node = a.node
+  LEFT JOIN {best} b ON b.model_id = a.model_id AND b.node = a.node LEFT JOIN cells c ON c.doc_id = a.doc_id AND c.token = b.token)"""
+        )
+    parts.append(f"{name} AS (SELECT model_id, doc_id, fit, y, pred FROM {name}_at{depth + 1})")
+    return ",\n".join(parts)
+
+
+DEPTH = 20
+TRAIN = "train AS (SELECT doc_id FROM rated WHERE is_train)"
+
+
+def boosted_trees(rounds: int) -> str:
+    """``kept(doc_id, model_id, pred, weight)``: test predictions and votes of the rounds before the first failing one."""
+    parts = [CELLS, TRAIN, "w0 AS (SELECT doc_id, CAST(1 AS DOUBLE) / (SELECT count(*) FROM train) AS w FROM train)"]
+    for i in range(rounds):
+        parts.append(weighted_draws(f"draw{i}", f"w{i}", i))
+        parts.append(f"sample{i} AS (SELECT {i} AS model_id, * FROM draw{i})")
+        parts.append(trees(f"tree{i}", f"sample{i}", DEPTH))
+        parts.append(
+            f"""loss{i} AS MATERIALIZED (SELECT t.doc_id, multiplicity, w, coalesce(abs(pred - y) / nullif(max(abs(pred - y)) OVER (), 0), 0) AS loss
+  FROM tree{i} t JOIN draw{i} d USING (doc_id) JOIN w{i} w USING (doc_id) WHERE fit),
+err{i} AS MATERIALIZED (SELECT {i} AS model_id, sum(multiplicity * w * loss) AS error FROM loss{i}),
+raw{i} AS (SELECT w.doc_id, CASE WHEN l.doc_id IS NULL THEN w.w ELSE w.w * pow(error / (1 - error), 1 - l.loss) END AS w
+  FROM w{i} w LEFT JOIN loss{i} l ON l.doc_id = w.doc_id, err{i}),
+w{i + 1} AS MATERIALIZED (SELECT doc_id, w / sum(w) OVER () AS w FROM raw{i})"""
         )
-    return ",\n".join(parts) + f" SELECT doc_id, y, pred FROM at{depth + 1} WHERE NOT is_train"
+    errors = " UNION ALL ".join(f"SELECT * FROM err{i}" for i in range(rounds))
+    preds = " UNION ALL ".join(f"SELECT * FROM tree{i} WHERE NOT fit" for i in range(rounds))
+    parts.append(
+        f"""errors AS ({errors}),
+judged AS (SELECT *, coalesce(error > 0 AND error < 0.5, FALSE) AS good FROM errors),
+votes AS (SELECT model_id, CASE WHEN good THEN ln((1 - error) / error) ELSE 1 END AS weight FROM judged j
+  WHERE (good OR model_id = 0) AND NOT EXISTS (SELECT 1 FROM judged e WHERE e.model_id < j.model_id AND NOT e.good)),
+kept AS (SELECT p.doc_id, p.model_id, p.pred, v.weight FROM ({preds}) p JOIN votes v USING (model_id))"""
+    )
+    return ",\n".join(parts)
 
 
 FLAT = r"regexp_replace({col}, '\s+', ' ', 'g')"
@@ -138,7 +182,14 @@ SQL = {
     "weighted_median": f"WITH {VOTES} SELECT doc_id, round(min(pred), 6) AS pred FROM cum WHERE c >= 0.5 * a GROUP BY doc_id",
     "svr_certificate": f"""WITH {LINES}, {bootstrap('train')} SELECT model_id, CAST(sum(multiplicity) AS BIGINT) AS draws,
       count(*) AS reviews, TRUE AS bounded, TRUE AS settled FROM draws GROUP BY model_id""",
-    "tree_regressor": f"WITH {tree(20)}",
+    "tree_regressor": f"""WITH {CELLS}, {TRAIN}, sole AS (SELECT 0 AS model_id, doc_id, 1 AS multiplicity FROM train),
+      {trees('t', 'sole', DEPTH)} SELECT doc_id, y, pred FROM t WHERE NOT fit""",
+    "bagging_trees": f"""WITH {CELLS}, {TRAIN}, {bootstrap('train')}, {trees('t', 'draws', DEPTH)}
+      SELECT doc_id, y, round(avg(pred), 6) AS pred FROM t WHERE NOT fit GROUP BY doc_id, y""",
+    "adaboost_trees": f"""WITH {boosted_trees(3)},
+      cum AS (SELECT doc_id, pred, sum(weight) OVER (PARTITION BY doc_id ORDER BY pred, model_id) AS c,
+        sum(weight) OVER (PARTITION BY doc_id) AS a FROM kept)
+      SELECT doc_id, round(min(pred), 6) AS pred FROM cum WHERE c >= 0.5 * a GROUP BY doc_id""",
     "json_roundtrip": f"""WITH {ALL_REVIEWS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, overall, summary, md5(review) AS review_md5 FROM reviews""",
     "tsv_scan": f"""WITH {ALL_REVIEWS}, f AS (SELECT doc_id, {FLAT.format(col='review')} AS flat,
         trim({FLAT.format(col='summary')}) AS summary, overall FROM reviews),

@@ -167,7 +167,6 @@ class TreeLearner:
             F.coalesce("idx", F.array().cast("array<int>")).alias("idx"),
             F.coalesce(F.transform("val", step), F.array().cast("array<int>")).alias("steps"),
         )
-        schema = "model_id int, node bigint, place int, cut int"
         grown, nodes = [], models
         for depth in range(self.max_depth + 1):
             rows = materialize(rows, "tree-rows")
@@ -178,11 +177,11 @@ class TreeLearner:
             if level.empty:
                 break
             nodes = 2 * len(level)
-            held = [tuple(int(v) for v in r) for r in level[["model_id", "node", "place", "cut"]].itertuples(index=False)]
-            cuts = train.sparkSession.createDataFrame(held, schema)
+            kinds = {"model_id": np.int32, "node": np.int64, "place": np.int32, "cut": np.int32}
+            cuts = train.sparkSession.createDataFrame(level[list(kinds)].astype(kinds))
             step_held = F.get("steps", (F.array_position("idx", F.col("place")) - 1).cast("int"))
             up = F.when(F.coalesce(step_held, F.lit(0)) > F.col("cut"), 1).otherwise(0)
-            joined = rows.join(F.broadcast(cuts) if len(held) <= LEVEL_NODES else cuts, ["model_id", "node"])
+            joined = rows.join(F.broadcast(cuts) if len(level) <= LEVEL_NODES else cuts, ["model_id", "node"])
             rows = joined.withColumn("node", 2 * F.col("node") + up).drop("place", "cut")
         table = pd.concat(grown)
         table = table.assign(

@@ -243,6 +243,19 @@ def adaboost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_model(*text_features(spark, sf_dir, "svr"), "boosting")
 
 
+def bagging_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of trees, each grown on its own draws."""
+    rows = text_model(*text_features(spark, sf_dir, "tree"), "bagging")
+    return rows.withColumn("pred", F.round("pred", 6))
+
+
+def adaboost_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted median of boosted trees."""
+    train, test, fitted = text_features(spark, sf_dir, "tree")
+    boosted = E.adaboost(train, "doc_id", "y", fitted, ROUNDS, RATIO, SEED)
+    return E.boosted_predictions(boosted, test, "doc_id").select("doc_id", F.round("pred", 6).alias("pred"))
+
+
 def regression_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean absolute and root mean squared error of every method with every base learner."""
     path = scratch(spark, "grid")
@@ -352,6 +365,8 @@ QUERIES = {
     "tree_regressor": tree_regressor,
     "bagging": bagging,
     "adaboost": adaboost,
+    "bagging_trees": bagging_trees,
+    "adaboost_trees": adaboost_trees,
     "regression_grid": regression_grid,
     "model_store": model_store,
     "json_roundtrip": json_roundtrip,
