@@ -123,7 +123,7 @@ def trees(name: str, draws: str, depth: int) -> str:
     return ",\n".join(parts)
 
 
-DEPTH = 20
+DEPTH, BOOST_DEPTH = 20, 4
 TRAIN = "train AS (SELECT doc_id FROM rated WHERE is_train)"
 
 
@@ -133,7 +133,7 @@ def boosted_trees(rounds: int) -> str:
     for i in range(rounds):
         parts.append(weighted_draws(f"draw{i}", f"w{i}", i))
         parts.append(f"sample{i} AS (SELECT {i} AS model_id, * FROM draw{i})")
-        parts.append(trees(f"tree{i}", f"sample{i}", DEPTH))
+        parts.append(trees(f"tree{i}", f"sample{i}", BOOST_DEPTH))
         parts.append(
             f"""loss{i} AS MATERIALIZED (SELECT t.doc_id, multiplicity, w, coalesce(abs(pred - y) / nullif(max(abs(pred - y)) OVER (), 0), 0) AS loss
   FROM tree{i} t JOIN draw{i} d USING (doc_id) JOIN w{i} w USING (doc_id) WHERE fit),
