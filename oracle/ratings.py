@@ -30,7 +30,8 @@ draws AS (SELECT CAST(d.model_id AS INTEGER) AS model_id, b.doc_id, count(*) AS
 
 def weighted_draws(name: str, weights: str, salt: int) -> str:
     """``name(doc_id, multiplicity)`` from ``weights(doc_id, w)``."""
-    return f"""{name}_u AS (SELECT doc_id, rk, n, CAST(floor(w * n * CAST(1000000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT) AS units
+    return f"""{name}_u AS (SELECT doc_id, rk, n,
+    greatest(CAST(floor(w * CAST(576460752303423488 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT), CASE WHEN w > 0 THEN 1 ELSE 0 END) AS units
   FROM ({rank(weights, 'doc_id', 2021)})),
 {name}_c AS (SELECT doc_id, n, CAST(sum(units) OVER (ORDER BY rk) - units AS BIGINT) AS lo,
   CAST(sum(units) OVER (ORDER BY rk) AS BIGINT) AS hi, CAST(sum(units) OVER () AS BIGINT) AS total FROM {name}_u),

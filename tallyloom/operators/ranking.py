@@ -108,14 +108,35 @@ def permutation_part(
     return df.withColumn(out, reduce(add, passed, F.lit(0)))
 
 
+def _in_ranges(df: DataFrame, *order: Column | str) -> DataFrame:
+    """``df`` sorted and stored in ranges of about equal length: their number ``_p`` and the place ``_i`` inside."""
+    ordered = cut_lineage(df.orderBy(*order)).withColumn("_m", F.monotonically_increasing_id())
+    return ordered.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_m")
+
+
+def last_known(df: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+    """The value of the last row at or before each one that has a value; null before the first. Ties follow no rule.
+
+    Rows are sorted into ranges; a window stays inside a range, and one value
+    per range is carried on to the later ones.
+    """
+    ranges = _in_ranges(df, *order)
+    ends = ranges.where(F.col(value).isNotNull()).groupBy("_p").agg(F.max_by(value, "_i").alias("_end"))
+    # One row per range, also for ranges without a value.
+    ends = ranges.select("_p").distinct().join(F.broadcast(ends), "_p", "left")
+    carry = ends.select("_p", F.last("_end", ignorenulls=True).over(Window.orderBy("_p").rowsBetween(*BEFORE)).alias("_carry"))
+    inside = Window.partitionBy("_p").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    filled = ranges.withColumn("_own", F.last(value, ignorenulls=True).over(inside)).join(F.broadcast(carry), "_p")
+    return filled.withColumn(out, F.coalesce("_own", "_carry")).drop("_p", "_i", "_own", "_carry")
+
+
 def ordered_index(df: DataFrame, *order: Column | str, out: str = "idx", start: int = 0) -> DataFrame:
     """Consecutive numbers in the given order, which must have no ties.
 
     A range-partitioned sort is written to the checkpoint folder; numbering
     needs only the sizes of its partitions.
     """
-    ordered = cut_lineage(df.orderBy(*order)).withColumn("_m", F.monotonically_increasing_id())
-    ordered = ordered.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND((1 << 33) - 1))
+    ordered = _in_ranges(df, *order)
     window = Window.orderBy("_p").rowsBetween(*BEFORE)
     offsets = (
         ordered.groupBy("_p")
@@ -125,5 +146,5 @@ def ordered_index(df: DataFrame, *order: Column | str, out: str = "idx", start:
     return (
         ordered.join(F.broadcast(offsets), "_p")
         .withColumn(out, (F.col("_before") + F.col("_i") + start).cast("bigint"))
-        .drop("_m", "_p", "_i", "_before")
+        .drop("_p", "_i", "_before")
     )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.hashing import hash_key, hash_number
-from tallyloom.operators.ranking import permutation_part, prefix_sum, shuffled_rank
+from tallyloom.operators.ranking import last_known, permutation_part, prefix_sum, shuffled_rank
 from tallyloom.session import materialize
 
 
@@ -85,19 +85,18 @@ def bootstrap(df: DataFrame, row_id: str, ratio: float, models: int, seed: int)
     return picks.join(ranked.select("_rk", row_id), "_rk").select("model_id", row_id, "multiplicity")
 
 
-# Weights become integers with this many units per average row.
-WEIGHT_UNITS = 1_000_000
-# Cells of the cumulated weight; a table with one row per cell is bounded.
-CELLS = 65_536
+# All weights together make about this many units, half the range of a drawn number.
+WEIGHT_UNITS = 1 << 59
 
 
 def weighted_draw(df: DataFrame, row_id: str, weight: str, ratio: float, seed: int, salt: int = 0) -> DataFrame:
-    """``int(n * ratio)`` draws with replacement, probability proportional to ``weight``.
+    """``int(n * ratio)`` draws with replacement, probability proportional to ``weight``; the weights add up to 1.
 
-    Rows and draws are laid on one axis of cumulated weight. Inside a cell of
-    the axis a draw takes the last row starting at or before it; a draw ahead of
-    all rows of its cell takes the last row of the earlier cells. No pairs of
-    rows and draws are formed, so a very heavy row costs nothing extra.
+    Rows and draws are laid on one axis of cumulated weight, in units finer than
+    a draw can tell apart; any weight above 0 has at least one. A draw takes the
+    last row starting at or before it. The axis is cut into ranges of about equal
+    numbers of rows and draws, whatever their weights: neither a very heavy row
+    nor many light ones make a large range, and no pairs are formed.
 
     The columns ``_rk`` and ``_n`` of :func:`drawing_order` are used when the
     rows have them already.
@@ -105,7 +104,8 @@ def weighted_draw(df: DataFrame, row_id: str, weight: str, ratio: float, seed: i
     ranked = df
     if not {"_rk", "_n"} <= set(df.columns):
         ranked = materialize(drawing_order(df.select(row_id, weight), row_id, seed), "drawing-order")
-    units = F.floor(F.col(weight) * F.col("_n") * F.lit(float(WEIGHT_UNITS)) + F.lit(0.5)).cast("bigint")
+    units = F.floor(F.col(weight) * F.lit(float(WEIGHT_UNITS)) + F.lit(0.5)).cast("bigint")
+    units = F.greatest(units, (F.col(weight) > 0).cast("bigint"))
     placed = prefix_sum(ranked.select(row_id, "_rk", "_n", units.alias("_units")), "_rk", "_n", "_units", "_lo", "_whole")
     nothing = F.lit(None).cast(df.schema[row_id].dataType)
     pick = hash_number(F.lit(salt), "_rk", seed) % F.col("_whole")
@@ -113,19 +113,8 @@ def weighted_draw(df: DataFrame, row_id: str, weight: str, ratio: float, seed: i
         F.struct(F.col("_lo").alias("at"), F.lit(0).alias("kind"), F.col(row_id).alias("row"), (F.col("_units") > 0).alias("used")),
         F.struct(pick.alias("at"), F.lit(1).alias("kind"), nothing.alias("row"), (F.col("_rk") < _share(F.col("_n"), ratio)).alias("used")),
     )
-    width = F.ceil(F.col("_whole") / F.lit(CELLS))
-    axis = placed.select("_whole", F.explode(ends).alias("_e")).where("_e.used")
-    axis = axis.select(F.col("_e.at"), F.col("_e.kind"), F.col("_e.row"), F.floor(F.col("_e.at") / width).alias("cell"))
-    last_in_cell = Window.partitionBy("cell").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    ends_of_cells = axis.groupBy("cell").agg(F.max_by("row", F.when(F.col("kind") == 0, F.col("at"))).alias("end"))
-    carry = ends_of_cells.select("cell", F.last("end", ignorenulls=True).over(earlier).alias("carry"))
-    hits = (
-        axis.withColumn("own", F.last("row", ignorenulls=True).over(last_in_cell))
-        .where("kind = 1")
-        .join(F.broadcast(carry), "cell")
-        .select(F.coalesce("own", "carry").alias(row_id))
-    )
+    axis = placed.select(F.explode(ends).alias("_e")).where("_e.used").select("_e.at", "_e.kind", "_e.row")
+    hits = last_known(axis, ["at", "kind"], "row", row_id).where("kind = 1")
     return hits.groupBy(row_id).agg(F.count("*").alias("multiplicity"))
 
 

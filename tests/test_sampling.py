@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import sampling as P
-from tallyloom.operators.ranking import ordered_index, permutation_part, prefix_sum, shuffled_rank
+from tallyloom.operators.ranking import _in_ranges, last_known, ordered_index, permutation_part, prefix_sum, shuffled_rank
 from tallyloom.operators.skew import lookup_join
 
 
@@ -99,7 +99,7 @@ def test_bootstrap_matches_plain_draws(rows, ratio):
 
 def plain_weighted_draw(weights, ratio, seed, salt):
     order, n = permutation(list(weights), seed), len(weights)
-    units = [int(weights[r] * n * 1e6 + 0.5) for r in order]
+    units = [max(int(weights[r] * 2.0**59 + 0.5), int(weights[r] > 0)) for r in order]
     total, hits = sum(units), Counter()
     for draw in range(int(n * ratio)):
         at = int(md5(salt, draw, seed)[:15], 16) % total
@@ -127,6 +127,29 @@ def test_weighted_draw_matches_plain_draws(spark, shape):
     assert sum(got.values()) == int(n * 0.8)
 
 
+def test_light_rows_beside_a_heavy_one(spark):
+    """99.9 % light rows: all of them can be drawn, none is rounded to nothing, and no range holds most rows."""
+    n = 20_000
+    raw = [1e6 if i == 77 else 1e6 * (i % 20) if i % 1000 == 1 else 1e-3 for i in range(n)]
+    whole = sum(raw)
+    df = spark.createDataFrame([(i, w / whole) for i, w in enumerate(raw)], "row long, w double").repartition(5)
+    got = {r.row: r.multiplicity for r in P.weighted_draw(df, "row", "w", 0.02, 4, 2).collect()}
+    assert got == plain_weighted_draw({i: w / whole for i, w in enumerate(raw)}, 0.02, 4, 2)
+    # Each light row has its own stretch of the axis.
+    assert 1e-3 / whole * P.WEIGHT_UNITS > 1e6
+    axis = df.select((F.col("row") + F.when(F.col("row") > n // 2, 10**15).otherwise(0)).alias("at"), F.lit(0).alias("kind"))
+    sizes = [r["count"] for r in _in_ranges(axis, "at", "kind").groupBy("_p").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * n / len(sizes)
+
+
+def test_last_known_is_carried_over_ranges(spark):
+    rows = [(i, 0 if i % 400 == 150 else 1, f"v{i}" if i % 400 == 150 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "at long, kind int, v string").repartition(5)
+    got = {r.at: r.found for r in last_known(df, ["at", "kind"], "v", "found").collect()}
+    assert got == {i: f"v{(i - 150) // 400 * 400 + 150}" if i >= 150 else None for i in range(2000)}
+    assert last_known(df.where("at < 0"), ["at", "kind"], "v", "found").count() == 0
+
+
 def test_ordered_index_numbers_without_gaps(spark):
     df = spark.createDataFrame([(f"t{i:04d}", i % 3) for i in range(1000)], "t string, n int").repartition(7)
     got = [(r.t, r.idx) for r in ordered_index(df, F.desc("n"), "t", start=2).orderBy("idx").collect()]
