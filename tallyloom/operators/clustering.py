@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.hashing import hash_number
 from tallyloom.operators.sampling import first_shuffled
 
 # Squared distances are rounded to this many digits before the nearest center
@@ -49,6 +50,35 @@ def initial_centers(df: DataFrame, row_id: str, vector: str, k: int, seed: int)
     return np.array([r[vector] for r in rows], dtype=np.float64)
 
 
+def spread_centers(df: DataFrame, row_id: str, vector: str, k: int, seeds: Sequence[int]) -> list[np.ndarray]:
+    """For every seed ``k`` vectors, each drawn with a chance proportional to its squared distance from the earlier ones.
+
+    A row's draw is an exponential number from a hash, divided by the squared
+    distance; the smallest wins, ties by row id. A center takes one pass for all
+    seeds, which returns one row. Fewer distinct vectors than ``k`` give fewer centers.
+    """
+    chosen: list[list[np.ndarray]] = [[] for _ in seeds]
+    for step in range(k):
+        held = [np.array(c) for c in chosen]
+
+        @F.pandas_udf("array<double>")
+        def gaps(vectors: pd.Series) -> pd.Series:
+            points = matrix(vectors)
+            found = [nearest(points, c)[1] if len(c) else np.ones(len(points)) for c in held]
+            return pd.Series(list(np.stack(found, axis=1)))
+
+        told = df.select(row_id, vector, gaps(vector).alias("_gaps"))
+        firsts = []
+        for i, seed in enumerate(seeds):
+            gap = F.get("_gaps", F.lit(i))
+            key = -F.log((hash_number(step, row_id, seed) + 1) / F.lit(2.0**60)) / gap
+            firsts.append(F.min(F.when(gap > 0, F.struct(key.alias("key"), F.col(row_id).alias("row"), F.col(vector).alias("v")))).alias(f"r{i}"))
+        for own, first in zip(chosen, told.agg(*firsts).first()):
+            if first is not None:
+                own.append(np.array(first.v, dtype=np.float64))
+    return [np.array(c) for c in chosen]
+
+
 @dataclass
 class Run:
     """State of one Lloyd loop: ``used`` gave the latest assignment, ``centers`` are its means."""

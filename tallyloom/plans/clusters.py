@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import vectors as V
 from tallyloom.operators import clustering as C
 from tallyloom.operators import metrics
+from tallyloom.operators import projection as P
 from tallyloom.operators.sampling import first_shuffled
 from tallyloom.plans.views import vectors
 from tallyloom.session import materialize, scratch
 
 SEED = 2021
 K = 10
+BEST_OF = 5
 # The loop ends when no vector changes its cluster, and at this many steps at the latest.
 STEPS = 300
 K_RANGE = tuple(range(5, 20))
@@ -128,21 +127,22 @@ def kmeans_k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_best_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Library baseline: the best of five parallel-initialized runs of at most 300 iterations."""
-    points = vectors(spark, sf_dir).select("vec_id", array_to_vector("embedding").alias("features")).persist()
-    models = [KMeans(k=K, maxIter=300, seed=s, initMode="k-means||").fit(points) for s in range(5)]
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    return best.transform(points).select("vec_id", F.col("prediction").alias("c"))
+    """Baseline: the cheapest of five runs from spread-out centers, all runs sharing their passes."""
+    points = vectors(spark, sf_dir)
+    starts = C.spread_centers(points, "vec_id", "embedding", K, range(BEST_OF))
+    runs = C.lloyd(points, "embedding", starts, STEPS)
+    # Runs may end in the same clusters, with costs that differ by rounding.
+    best = min(runs, key=lambda r: round(r.cost, 6))
+    return assigned(points, best.used).select("vec_id", "c")
 
 
 def project_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two linear coordinates of 500 sampled vectors for display."""
-    sample = first_shuffled(vectors(spark, sf_dir), "vec_id", 500, SEED)
-    centers = start(spark, sf_dir)
-    features = sample.select("vec_id", C.assign("embedding", centers).alias("c"), array_to_vector("embedding").alias("features"))
-    model = PCA(k=2, inputCol="features", outputCol="xy").fit(features)
-    xy = model.transform(features).select("vec_id", "c", vector_to_array("xy").alias("xy"))
-    return xy.select("vec_id", "c", F.get("xy", F.lit(0)).alias("x"), F.get("xy", F.lit(1)).alias("y"))
+    """The two main coordinates of 500 sampled vectors for display, with their clusters."""
+    sample = materialize(first_shuffled(vectors(spark, sf_dir), "vec_id", 500, SEED), "display-sample")
+    _, mean, covariance = P.moments(sample, "embedding")
+    x, y = (P.coordinate(F.col("embedding"), mean, axis) for axis in P.main_axes(covariance, 2))
+    cluster = C.assign("embedding", start(spark, sf_dir))
+    return sample.select("vec_id", cluster.alias("c"), F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
 
 
 QUERIES = {

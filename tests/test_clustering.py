@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import clustering as C
+from tallyloom.operators import projection as P
 from tallyloom.operators.matching import best_matching
 
 
@@ -79,3 +80,40 @@ def test_zero_filled_grid(spark):
     grid = C.zero_filled(cells, 3).collect()
     assert len(grid) == 9 and sum(r.n for r in grid) == 2
     assert C.zero_filled(cells, 3).agg(F.min("n")).first()[0] == 0
+
+
+def test_spread_centers_follow_the_squared_distance(spark):
+    rows = [(i, [float(100 * (i % 3)), 0.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "row long, v array<double>").repartition(5)
+    starts = C.spread_centers(df, "row", "v", 5, range(4))
+    # Vectors at a center's place are never drawn, so three places give three centers.
+    assert [sorted(c[0] for c in s) for s in starts] == [[0.0, 100.0, 200.0]] * 4
+    again = C.spread_centers(df.repartition(2), "row", "v", 5, range(4))
+    assert all((a == b).all() for a, b in zip(starts, again))
+    assert [len(s) for s in C.spread_centers(df.where("row < 0"), "row", "v", 5, [1])] == [0]
+
+
+def test_far_vectors_are_drawn_as_often_as_their_squared_distance_says(spark):
+    rows = [(i, [0.0] if i < 50 else [1.0] if i < 90 else [2.0]) for i in range(100)]
+    df = spark.createDataFrame(rows, "row long, v array<double>")
+    pairs = [tuple(c.ravel()) for c in C.spread_centers(df, "row", "v", 2, range(200))]
+    from_zero = [b for a, b in pairs if a == 0.0]
+    # 40 vectors at distance 1 and 10 at distance 2 weigh the same.
+    assert 70 <= len(from_zero) <= 130
+    assert 0.35 <= sum(b == 2.0 for b in from_zero) / len(from_zero) <= 0.65
+
+
+def test_axes_equal_a_decomposition_of_all_vectors(spark):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(200, 4)) * [1.0, 5.0, 2.0, 0.1] + [10.0, 0.0, -3.0, 1.0]
+    rows = [(i, p.tolist()) for i, p in enumerate(points)] + [(200, None)]
+    df = spark.createDataFrame(rows, "row long, v array<double>").repartition(7)
+    n, mean, covariance = P.moments(df, "v")
+    assert n == 200 and np.allclose(mean, points.mean(axis=0)) and np.allclose(covariance, np.cov(points.T, bias=True))
+    axes = P.main_axes(covariance, 2)
+    _, _, want = np.linalg.svd(points - points.mean(axis=0), full_matrices=False)
+    assert np.allclose(np.abs(axes @ want[:2].T), np.eye(2)) and (np.abs(axes).max(axis=1) == axes.max(axis=1)).all()
+    got = df.select("row", P.coordinate(F.col("v"), mean, axes[0]).alias("x")).collect()
+    assert all(r.x == pytest.approx((points[r.row] - mean) @ axes[0]) for r in got if r.row < 200)
+    assert [r.x for r in got if r.row == 200] == [None]
+    assert P.moments(df.where("row = 200"), "v")[0] == 0

@@ -26,7 +26,7 @@ def test_every_statement_belongs_to_a_query():
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", ["kmeans_best_of", "project_2d", "rating_classifier", "model_select"])
+@pytest.mark.parametrize("name", ["rating_classifier", "model_select"])
 def test_estimators_return_rows(spark, name):
     assert registry.queries()[name](spark, SMALL).count() > 0
 
