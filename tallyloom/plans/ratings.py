@@ -12,6 +12,7 @@ from tallyloom.operators.naive_bayes import counted, occurrences
 from tallyloom.operators.regressors import VectorModel, learner, predictions
 from tallyloom.plans.views import reviews, table
 from tallyloom.session import materialize, scratch
+from tallyloom.sources import json_arrays as J
 from tallyloom.sources import tables as S
 
 SEED = 2021
@@ -299,14 +300,13 @@ REVIEW_FIELDS = ["doc_id", "review", "summary", "overall"]
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews written as JSON lines, and once more as JSON arrays, both read back."""
+    """Reviews written as JSON lines, and once more as files of one JSON array each, both read back."""
     source = reviews(spark, sf_dir, labelled=False).select(F.col("doc_id").cast("string").alias("doc_id"), *REVIEW_FIELDS[1:])
     lines, arrays = scratch(spark, "reviews-json"), scratch(spark, "reviews-array")
     S.write_json(source, lines)
     as_lines = spark.read.schema(S.string_schema(REVIEW_FIELDS)).json(lines)
-    # One array per row keeps the files free of any whole-table list.
-    as_lines.select(F.to_json(F.array(F.struct(*REVIEW_FIELDS))).alias("value")).write.text(arrays)
-    back = spark.read.schema(S.string_schema(REVIEW_FIELDS)).json(arrays)
+    J.write_json_array(as_lines, arrays)
+    back = J.read_json_array(spark, arrays, S.string_schema(REVIEW_FIELDS))
     return back.select("doc_id", "overall", "summary", F.md5(F.col("review").cast("binary")).alias("review_md5"))
 
 

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
+from tallyloom.sources import json_arrays as J
 from tallyloom.sources import tables as S
 from tallyloom.sources.mail import decode_messages, ingest, read_label_index, read_messages
 
@@ -85,7 +86,7 @@ def test_tab_separated_rows(spark, tmp_path):
 def test_json_array_file(spark, tmp_path):
     path = tmp_path / "a.json"
     path.write_text(json.dumps([{"label": "spam", "data": ["a", "b"]}, {"label": "ham", "data": []}], indent=4))
-    rows = S.read_json_array(spark, str(path), "label string, data array<string>").collect()
+    rows = J.read_json_array(spark, str(path), "label string, data array<string>").collect()
     assert [(r.label, r.data) for r in rows] == [("spam", ["a", "b"]), ("ham", [])]
 
 
