@@ -124,13 +124,22 @@ def trees(name: str, draws: str, depth: int) -> str:
     return ",\n".join(parts)
 
 
+# Documents without a label walk along with the test reviews.
+UNRATED = "unrated AS (SELECT doc_id, text AS review FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))"
+NEW_CELLS = f"""{IDF}, {UNRATED},
+known AS (SELECT * FROM tf UNION ALL SELECT doc_id, FALSE, token, count(*) FROM
+  (SELECT doc_id, unnest({WORDS.format(col='review')}) AS token FROM unrated) GROUP BY ALL),
+cells AS MATERIALIZED (SELECT doc_id, token, least(greatest(CAST(ceil(round(m * idf / norm * 64, 6)) AS INTEGER), 1), 64) AS step
+  FROM (SELECT k.*, idf, sqrt(sum(m * idf * m * idf) OVER (PARTITION BY doc_id)) AS norm FROM known k JOIN idf ON idf.token = k.token)),
+rated AS (SELECT doc_id, is_train, CAST(overall AS DOUBLE) AS y FROM split UNION ALL SELECT doc_id, FALSE, NULL FROM unrated)"""
+
 DEPTH, BOOST_DEPTH = 20, 4
 TRAIN = "train AS (SELECT doc_id FROM rated WHERE is_train)"
 
 
-def boosted_trees(rounds: int) -> str:
+def boosted_trees(rounds: int, cells: str = CELLS) -> str:
     """``kept(doc_id, model_id, pred, weight)``: test predictions and votes of the rounds before the first failing one."""
-    parts = [CELLS, TRAIN, "w0 AS (SELECT doc_id, CAST(1 AS DOUBLE) / (SELECT count(*) FROM train) AS w FROM train)"]
+    parts = [cells, TRAIN, "w0 AS (SELECT doc_id, CAST(1 AS DOUBLE) / (SELECT count(*) FROM train) AS w FROM train)"]
     for i in range(rounds):
         parts.append(weighted_draws(f"draw{i}", f"w{i}", i))
         parts.append(f"sample{i} AS (SELECT {i} AS model_id, * FROM draw{i})")
@@ -155,6 +164,10 @@ kept AS (SELECT p.doc_id, p.model_id, p.pred, v.weight FROM ({preds}) p JOIN vot
     return ",\n".join(parts)
 
 
+MEDIANS = """cum AS (SELECT doc_id, pred, sum(weight) OVER (PARTITION BY doc_id ORDER BY pred, model_id) AS c,
+  sum(weight) OVER (PARTITION BY doc_id) AS a FROM kept),
+medians AS (SELECT doc_id, round(min(pred), 6) AS pred FROM cum WHERE c >= 0.5 * a GROUP BY doc_id)"""
+
 FLAT = r"regexp_replace({col}, '\s+', ' ', 'g')"
 EMPTY = "CAST(NULL AS VARCHAR)"
 
@@ -187,10 +200,9 @@ SQL = {
       {trees('t', 'sole', DEPTH)} SELECT doc_id, y, pred FROM t WHERE NOT fit""",
     "bagging_trees": f"""WITH {CELLS}, {TRAIN}, {bootstrap('train')}, {trees('t', 'draws', DEPTH)}
       SELECT doc_id, y, round(avg(pred), 6) AS pred FROM t WHERE NOT fit GROUP BY doc_id, y""",
-    "adaboost_trees": f"""WITH {boosted_trees(3)},
-      cum AS (SELECT doc_id, pred, sum(weight) OVER (PARTITION BY doc_id ORDER BY pred, model_id) AS c,
-        sum(weight) OVER (PARTITION BY doc_id) AS a FROM kept)
-      SELECT doc_id, round(min(pred), 6) AS pred FROM cum WHERE c >= 0.5 * a GROUP BY doc_id""",
+    "adaboost_trees": f"WITH {boosted_trees(3)}, {MEDIANS} SELECT doc_id, pred FROM medians",
+    "predict_unlabelled": f"""WITH {boosted_trees(3, NEW_CELLS)}, {MEDIANS}
+      SELECT row_number() OVER (ORDER BY doc_id) AS Id, pred AS Predicted FROM medians JOIN unrated USING (doc_id)""",
     "json_roundtrip": f"""WITH {ALL_REVIEWS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, overall, summary, md5(review) AS review_md5 FROM reviews""",
     "tsv_scan": f"""WITH {ALL_REVIEWS}, f AS (SELECT doc_id, {FLAT.format(col='review')} AS flat,
         trim({FLAT.format(col='summary')}) AS summary, overall FROM reviews),

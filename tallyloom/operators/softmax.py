@@ -67,6 +67,17 @@ def probabilities(rows: DataFrame, cells: DataFrame, weights: DataFrame, classes
     return told.withColumn("probs", F.array(*[F.exp(m - F.col("_log")) for m in names])).drop("_log", *[f"m_{c}" for c in range(classes)])
 
 
+@dataclass(frozen=True)
+class SoftmaxModel:
+    """A trained classifier: weights ``(place, w)`` with one value of ``w`` per class."""
+
+    weights: DataFrame
+    classes: int
+
+    def probabilities(self, rows: DataFrame, cells: DataFrame) -> DataFrame:
+        return probabilities(rows, cells, self.weights, self.classes)
+
+
 def _values(column: pa.Array, classes: int) -> np.ndarray:
     """Vectors of all places of a batch: places x vectors x classes."""
     flat = column.flatten().to_numpy(zero_copy_only=False)

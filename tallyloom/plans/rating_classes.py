@@ -12,7 +12,7 @@ from tallyloom.operators import metrics, sampling, tfidf
 from tallyloom.operators import naive_bayes as nb
 from tallyloom.operators import sequences as Q
 from tallyloom.operators.ranking import ordered_index
-from tallyloom.operators.softmax import CONSTANT, SoftmaxLearner, probabilities, with_constant
+from tallyloom.operators.softmax import CONSTANT, SoftmaxLearner, SoftmaxModel, probabilities, with_constant
 from tallyloom.plans.views import reviews, table
 from tallyloom.session import materialize, scratch
 from tallyloom.sources import tables as S
@@ -162,8 +162,7 @@ def submission_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ensemble's expected ratings as a numbered result file, read back."""
     path = scratch(spark, "submission")
     rated = soft_voted(spark, sf_dir).select("doc_id", V.expected_rating(F.col("probs")).alias("rating"))
-    S.write_submission(S.submission(rated, "doc_id", "rating"), path)
-    back = spark.read.schema("Id bigint, Predicted double").option("header", "true").csv(path)
+    back = S.submitted(rated, "doc_id", "rating", path)
     return back.select("Id", F.round("Predicted", 6).alias("Predicted"))
 
 
@@ -203,13 +202,17 @@ def classifier_data(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     split = paired(split_reviews(spark, sf_dir)).withColumn("label", T.rating_class(F.col("overall")))
     aside = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(10)) == 0
     split = split.withColumn("part", F.when(F.col("is_test"), "test").when(aside, "valid").otherwise("train"))
-    words = T.word_tokens(F.col("text"))
     known = split.where(~F.col("is_test"))
-    vocabulary, _ = tfidf.numbered(tfidf.fit_idf(known, words, known.count()))
-    lists = tfidf.packed(nb.occurrences(split, "doc_id", words, ["is_test"]), vocabulary, "doc_id")
-    cells = lists.select(F.col("doc_id").alias("row_id"), F.explode(F.arrays_zip("idx", "val")).alias("c"))
+    vocabulary, _ = tfidf.numbered(tfidf.fit_idf(known, T.word_tokens(F.col("text")), known.count()))
     rows = materialize(split.select(F.col("doc_id").alias("row_id"), "label", "part"), "classifier-rows")
-    return rows, materialize(with_constant(cells.select("row_id", F.col("c.idx").alias("place"), "c.val"), rows), "classifier-cells"), vocabulary
+    return rows, classifier_cells(split, rows, vocabulary), vocabulary
+
+
+def classifier_cells(texts: DataFrame, rows: DataFrame, vocabulary: tfidf.Vocabulary) -> DataFrame:
+    """``(row_id, place, val)`` of the known words of ``texts``, and the constant cell of every row."""
+    lists = tfidf.packed(nb.occurrences(texts, "doc_id", T.word_tokens(F.col("text"))), vocabulary, "doc_id")
+    cells = lists.select(F.col("doc_id").alias("row_id"), F.explode(F.arrays_zip("idx", "val")).alias("c"))
+    return materialize(with_constant(cells.select("row_id", F.col("c.idx").alias("place"), "c.val"), rows), "classifier-cells")
 
 
 def trained(rows: DataFrame, cells: DataFrame, tolerance: float = 1e-4):
@@ -250,6 +253,23 @@ def classifier_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def classify_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result file ``(Id, Predicted)``: expected ratings of all documents without a label, in the order of their ids.
+
+    The trained classifier and its vocabulary are stored, and only what is read back from the store scores the documents.
+    A document without known words gets what the constant alone says.
+    """
+    rows, cells, vocabulary = classifier_data(spark, sf_dir)
+    path = scratch(spark, "classifier")
+    S.save_models(spark, [SoftmaxModel(trained(rows, cells).weights, len(RATINGS))], [1.0], path, vocabulary)
+    (model,), _ = S.load_models(spark, path)
+    new = paired(reviews(spark, sf_dir, labelled=False).where("overall is null"))
+    ids = new.select(F.col("doc_id").alias("row_id"))
+    probs = model.probabilities(ids, classifier_cells(new, ids, S.load_vocabulary(spark, path)))
+    rated = probs.select("row_id", V.expected_rating(F.col("probs")).alias("rating"))
+    return S.submitted(rated, "row_id", "rating", scratch(spark, "unlabelled"))
+
+
 PENALTIES = (0.1, 0.01)
 
 
@@ -289,5 +309,6 @@ QUERIES = {
     "batch_accuracy": batch_accuracy,
     "rating_classifier": rating_classifier,
     "classifier_fit": classifier_fit,
+    "classify_unlabelled": classify_unlabelled,
     "model_select": model_select,
 }

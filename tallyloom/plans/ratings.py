@@ -212,7 +212,7 @@ def svr_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.save_models(spark, [VectorModel(s.best) for s in states], [1.0] * MODELS, path)
     fitted.duals(states, train, draws, "doc_id", "y").write.parquet(f"{path}/duals")
     duals = spark.read.parquet(f"{path}/duals")
-    weights = spark.read.parquet(f"{path}/VectorModel")
+    weights = spark.read.parquet(S.manifest(spark, path).table)
     models, _ = S.load_models(spark, path)
     gaps = predictions(models, train, "doc_id").join(duals, ["doc_id", "model_id"]).join(train.select("doc_id", "y"), "doc_id")
     told = gaps.groupBy("model_id").agg(
@@ -269,6 +269,30 @@ def regression_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def unlabelled_features(spark: SparkSession, sf_dir: str, vocabulary: tfidf.Vocabulary) -> DataFrame:
+    """``(doc_id, x, idx, val)`` of all documents without a label, on the places of a stored vocabulary."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review"), F.col("n_chars").cast("double").alias("x"))
+    new = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
+    lists = tfidf.packed(occurrences(new, "doc_id", T.word_tokens(F.col("review"))), vocabulary, "doc_id")
+    return materialize(new.select("doc_id", "x").join(lists, "doc_id", "left"), "new-features")
+
+
+def predict_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result file ``(Id, Predicted)`` of all documents without a label, in the order of their ids.
+
+    Boosted trees, their votes and vocabulary are stored, and only what is read back from the store scores the documents.
+    """
+    rows, vocabulary, _ = packed_reviews(spark, sf_dir)
+    trees = learner("tree", max_depth=BOOST_DEPTH)
+    boosted = E.adaboost(rows.where("part = 'train'"), "doc_id", "y", trees, ROUNDS, RATIO, SEED)
+    path = scratch(spark, "boosted")
+    S.save_models(spark, boosted.models, boosted.votes, path, vocabulary)
+    models, votes = S.load_models(spark, path)
+    new = unlabelled_features(spark, sf_dir, S.load_vocabulary(spark, path))
+    preds = E.weighted_median(E.weighted(predictions(models, new, "doc_id"), E.votes_table(spark, votes)), "doc_id")
+    return S.submitted(preds, "doc_id", "pred", scratch(spark, "unlabelled")).withColumn("Predicted", F.round("Predicted", 6))
+
+
 def model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Models of every base learner and their vocabulary stored, loaded again, and applied to documents without a label.
 
@@ -282,11 +306,7 @@ def model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         fitted = learner(base, max_depth=MAX_DEPTH, places=places)
         models = E.bagging(train, "doc_id", "y", fitted, 2, RATIO, SEED)
         S.save_models(spark, models, [1.0, 1.0], f"{path}/{base}", None if base == "line" else vocabulary)
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review"), F.col("n_chars").cast("double").alias("x"))
-    new = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
-    tokens = occurrences(new, "doc_id", T.word_tokens(F.col("review")))
-    lists = tfidf.packed(tokens, S.load_vocabulary(spark, f"{path}/svr"), "doc_id")
-    new = materialize(new.select("doc_id", "x").join(lists, "doc_id", "left"), "new-features")
+    new = unlabelled_features(spark, sf_dir, S.load_vocabulary(spark, f"{path}/svr"))
     parts = []
     for base in ("line", "svr", "tree"):
         models, _ = S.load_models(spark, f"{path}/{base}")
@@ -370,6 +390,7 @@ QUERIES = {
     "adaboost_trees": adaboost_trees,
     "regression_grid": regression_grid,
     "model_store": model_store,
+    "predict_unlabelled": predict_unlabelled,
     "json_roundtrip": json_roundtrip,
     "tsv_scan": tsv_scan,
     "metric_store": metric_store,

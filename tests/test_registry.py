@@ -48,6 +48,13 @@ def test_stored_models_score_every_document_without_a_label(spark, monkeypatch):
     assert {r.doc_id for r in rows} == docs - labelled and all(r.pred is not None for r in rows)
 
 
+def test_stored_classifier_rates_every_document_without_a_label(spark):
+    rows = registry.queries()["classify_unlabelled"](spark, SMALL).collect()
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").join(spark.read.parquet(f"{SMALL}/labels.parquet"), "doc_id", "left_anti").count()
+    assert sorted(r.Id for r in rows) == list(range(1, docs + 1))
+    assert all(1 <= r.Predicted <= 5 for r in rows) and len({r.Predicted for r in rows}) > docs // 2
+
+
 def test_class_probabilities_sum_to_one(spark):
     for r in registry.queries()["rating_classifier"](spark, SMALL).collect():
         assert sum(r[f"p_{i}"] for i in range(5)) == pytest.approx(1)
