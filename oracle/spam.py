@@ -119,6 +119,10 @@ SQL = {
              CASE doc_id % 4 WHEN 0 THEN body WHEN 1 THEN body WHEN 2 THEN concat('<p>', body, '</p>', body) ELSE '' END AS body
       FROM mail UNION ALL SELECT concat('pages/', page_id), '', html FROM pages)
       SELECT path, sender, CAST(length(body) AS INTEGER) AS n_chars, md5(body) AS body_md5 FROM m""",
+    "mail_faults": """WITH d AS (SELECT count(*) AS n, count(*) FILTER (WHERE doc_id % 4 = 3) AS unknown FROM documents),
+      p AS (SELECT count(*) AS n FROM pages)
+      SELECT unnest(['messages', 'no_sender', 'charset', 'message', 'part']) AS counter,
+        unnest([d.n + p.n, p.n, unknown, 0, 0]) AS n FROM d, p""",
     "index_join": f"""WITH {MAIL}, m AS (
       SELECT concat('data/', doc_id) AS path, label, sender,
              CASE doc_id % 4 WHEN 0 THEN body WHEN 1 THEN body WHEN 2 THEN concat('<p>', body, '</p>', body) ELSE '' END AS body

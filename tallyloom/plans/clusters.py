@@ -72,6 +72,14 @@ def cluster_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vote and class report of an assignment that was stored and loaded; labels are joined to it again."""
+    stored = cluster_store(spark, sf_dir).join(vectors(spark, sf_dir).select("vec_id", "label"), "vec_id")
+    named = C.apply_mapping(stored, C.cluster_labels(C.contingency(stored), K, "voting"))
+    report = metrics.class_report(named, "pred", "label")
+    return report.withColumns({n: F.round(n, 6) for n in ("precision", "recall", "f1")})
+
+
 def contingency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.contingency(first_assignment(spark, sf_dir))
 
@@ -152,6 +160,7 @@ QUERIES = {
     "assign_cluster": assign_cluster,
     "update_centers": update_centers,
     "cluster_store": cluster_store,
+    "stored_report": stored_report,
     "contingency": contingency,
     "contingency_grid": contingency_grid,
     "majority_vote": majority_vote,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
@@ -14,7 +14,7 @@ from tallyloom.operators import naive_bayes as nb
 from tallyloom.operators.ranking import shuffled_rank
 from tallyloom.plans.views import mail, reviews, table
 from tallyloom.session import materialize, scratch
-from tallyloom.sources.mail import decode_messages, ingest, read_label_index
+from tallyloom.sources.mail import decode_messages, ingest, read_label_index, read_messages, write_messages
 
 CLASSES = ("ham", "spam")
 SEED = 2021
@@ -79,8 +79,20 @@ def src_label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_index(spark, sf_dir)
 
 
+def mail_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages, one file each, written and scanned: ``(path, content)``."""
+    path = scratch(spark, "mail-files")
+    named = F.split("path", "/")
+    content = F.decode("content", "UTF-8")
+    write_messages(
+        raw_messages(spark, sf_dir).select(F.get(named, F.lit(0)).alias("folder"), F.get(named, F.lit(1)).alias("name"), content.alias("content")),
+        path,
+    )
+    return read_messages(spark, path).withColumn("path", F.regexp_replace("path", r"^.*/folder=([^/]*)/name=([^/]*)/[^/]*$", "$1/$2"))
+
+
 def mail_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode_messages(raw_messages(spark, sf_dir))
+    decoded = decode_messages(mail_files(spark, sf_dir))
     return decoded.select(
         "path",
         T.sender_feature(F.col("sender")).alias("sender"),
@@ -89,6 +101,13 @@ def mail_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mail_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(counter, n)``: messages, those without a sender, and those not decodable, counted while they are ingested."""
+    seen = Observation()
+    materialize(decode_messages(mail_files(spark, sf_dir), seen), "ingested")
+    return spark.createDataFrame(sorted(seen.get.items()), "counter string, n bigint")
+
+
 def index_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = ingest(label_index(spark, sf_dir), raw_messages(spark, sf_dir))
     return labelled.select(
@@ -388,6 +407,7 @@ def prf_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "src_label_index": src_label_index,
     "mail_ingest": mail_ingest,
+    "mail_faults": mail_faults,
     "index_join": index_join,
     "sender_domain": sender_domain,
     "ascii_filter": ascii_filter,

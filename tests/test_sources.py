@@ -1,11 +1,12 @@
 import json
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
 from tallyloom.sources import json_arrays as J
 from tallyloom.sources import tables as S
-from tallyloom.sources.mail import decode_messages, ingest, read_label_index, read_messages
+from tallyloom.sources.mail import decode_messages, ingest, read_label_index, read_messages, write_messages
 
 PLAIN = b"From: A <a@x.example>\r\nContent-Type: text/plain; charset=utf-8\r\n\r\nhello\r\n"
 HTML_FIRST = (
@@ -55,6 +56,41 @@ def test_broken_message_keeps_its_row(spark):
     assert decode_messages(files).first().path == "p"
 
 
+def test_small_files_share_a_split_and_large_ones_fill_their_own(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"m{i:03}").write_bytes(b"x" * 100)
+    for name in "ab":
+        (tmp_path / name).write_bytes(b"y" * 1_000_000)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    splits = read_messages(spark, str(tmp_path), split_bytes=1_000_000, split_files=100)
+    spread = splits.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max(F.length("content")).alias("most")).collect()
+    assert sum(r.n for r in spread) == 302 and 5 <= len(spread) <= 8
+    assert max(r.n for r in spread) <= 101
+    # A plain scan counts every file as 4 MB.
+    assert spark.read.format("binaryFile").load(str(tmp_path)).rdd.getNumPartitions() > len(spread)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    index = spark.createDataFrame([("ham", "m007")], "label string, path string")
+    assert ingest(index, splits.withColumn("path", F.substring_index("path", "/", -1))).count() == 1
+
+
+def test_faults_are_counted_in_the_pass_that_reads(spark, tmp_path):
+    bad_part = b"From: a@b.example\r\nContent-Type: text/plain; charset=\"a\x00b\"\r\n\r\nlost\r\n"
+    mails = [("plain", PLAIN), ("bad", BAD_CHARSET), ("image", IMAGE), ("nested", NESTED), ("nul", bad_part), ("null", None), ("empty", b"")]
+    files = spark.createDataFrame([(n, None if c is None else bytearray(c)) for n, c in mails], "path string, content binary")
+    seen = Observation()
+    rows = decode_messages(files, seen).collect()
+    assert len(rows) == 7 and rows[0].asDict().keys() == {"path", "sender", "body"}
+    assert seen.get["messages"] == 7 and seen.get["no_sender"] == 3 and seen.get["message"] == 0
+    assert seen.get["charset"] + seen.get["part"] == 2 and seen.get["charset"] >= 1
+
+
+def test_written_messages_come_back_one_file_each(spark, tmp_path):
+    told = [("d", "1", "From: a@b.c\n\nfirst\nline"), ("d", "2", "\n"), ("p", "1", "ü" * 5)]
+    write_messages(spark.createDataFrame(told, "folder string, name string, content string"), str(tmp_path / "m"))
+    back = {tuple(r.path.split("/")[-3:-1]): bytes(r.content).decode() for r in read_messages(spark, str(tmp_path / "m")).collect()}
+    assert back == {(f"folder={f}", f"name={n}"): c + "\n" for f, n, c in told}
+
+
 def test_sender_modes(spark):
     senders = ["Name <u@a.com>", "no address", None, "x@y@z.org>", "u@a.com", "é@ü.com>"]
     df = spark.createDataFrame([(i, s) for i, s in enumerate(senders)], "i int, s string").orderBy("i")
