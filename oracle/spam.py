@@ -112,13 +112,16 @@ PAIRS = "pairs AS (SELECT toxic AS pred, 1 - quality AS label FROM labels)"
 BINARY = f"""{PAIRS}, c AS (SELECT count(*) FILTER (pred = 1 AND label = 1) AS tp, count(*) FILTER (pred = 1 AND label <> 1) AS fp,
   count(*) FILTER (pred <> 1 AND label = 1) AS fn FROM pairs)"""
 
+INGESTED = f"""WITH {ALL_MAIL}, m AS (
+  SELECT concat('data/', doc_id) AS path, {domain()} AS sender,
+         CASE doc_id % 4 WHEN 0 THEN body WHEN 1 THEN body WHEN 2 THEN concat('<p>', body, '</p>', body) ELSE '' END AS body
+  FROM mail UNION ALL SELECT concat('pages/', page_id), '', html FROM pages)
+  SELECT path, sender, CAST(length(body) AS INTEGER) AS n_chars, md5(body) AS body_md5 FROM m"""
+
 SQL = {
     "src_label_index": f"WITH {MAIL} SELECT label, concat('data/', doc_id) AS path FROM mail",
-    "mail_ingest": f"""WITH {ALL_MAIL}, m AS (
-      SELECT concat('data/', doc_id) AS path, {domain()} AS sender,
-             CASE doc_id % 4 WHEN 0 THEN body WHEN 1 THEN body WHEN 2 THEN concat('<p>', body, '</p>', body) ELSE '' END AS body
-      FROM mail UNION ALL SELECT concat('pages/', page_id), '', html FROM pages)
-      SELECT path, sender, CAST(length(body) AS INTEGER) AS n_chars, md5(body) AS body_md5 FROM m""",
+    "mail_ingest": INGESTED,
+    "mail_scan": INGESTED,
     "mail_faults": """WITH d AS (SELECT count(*) AS n, count(*) FILTER (WHERE doc_id % 4 = 3) AS unknown FROM documents),
       p AS (SELECT count(*) AS n FROM pages)
       SELECT unnest(['messages', 'no_sender', 'charset', 'message', 'part']) AS counter,

@@ -91,8 +91,7 @@ def mail_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_messages(spark, path).withColumn("path", F.regexp_replace("path", r"^.*/folder=([^/]*)/name=([^/]*)/[^/]*$", "$1/$2"))
 
 
-def mail_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode_messages(mail_files(spark, sf_dir))
+def fingerprints(decoded: DataFrame) -> DataFrame:
     return decoded.select(
         "path",
         T.sender_feature(F.col("sender")).alias("sender"),
@@ -101,6 +100,15 @@ def mail_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mail_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(decode_messages(raw_messages(spark, sf_dir)))
+
+
+def mail_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages, read from one file each."""
+    return fingerprints(decode_messages(mail_files(spark, sf_dir)))
+
+
 def mail_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(counter, n)``: messages, those without a sender, and those not decodable, counted while they are ingested."""
     seen = Observation()
@@ -407,6 +415,7 @@ def prf_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "src_label_index": src_label_index,
     "mail_ingest": mail_ingest,
+    "mail_scan": mail_scan,
     "mail_faults": mail_faults,
     "index_join": index_join,
     "sender_domain": sender_domain,
