@@ -49,14 +49,14 @@ def _signer(width: int, seed: int):
                         np.minimum(least, part.min(axis=0), out=least)
                 signs.append(((least >> np.uint64(24)) & np.uint64(0xFFFF)).astype(">u2").tobytes() if len(found) else None)
             yield pa.record_batch(
-                [batch.column("id"), pa.array(sizes, pa.int32()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.binary())],
-                ["id", "size", "one", "two", "sig"],
+                [*batch.select(["doc", "tag"]).columns, pa.array(sizes, pa.int32()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.binary())],
+                ["doc", "tag", "size", "one", "two", "sig"],
             )
 
     return sign
 
 
-SIGNED = "id bigint, size int, one bigint, two bigint, sig binary"
+SIGNED = "doc bigint, tag bigint, size int, one bigint, two bigint, sig binary"
 
 
 def _labels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,17 +167,41 @@ def _cross_pairs(percent: int):
 
 
 class _Forest:
-    """The stored tables of one run and the steps that read them."""
+    """The stored tables of one run and the steps that read them.
+
+    Nodes are classes of equal shingle sets, numbered by ``id``. ``doc`` and ``tag``,
+    the id of a document and the hash of its text, tell which text stands for a class.
+    """
 
     def __init__(self, texts: DataFrame, width: int, percent: int, seed: int):
         self.texts, self.width, self.percent = texts, width, percent
         self.spark = texts.sparkSession
-        self.signed, _ = keep(texts.mapInArrow(_signer(width, seed), SIGNED), "signatures")
+        signed, signed_path = keep(texts.mapInArrow(_signer(width, seed), SIGNED), "signatures")
         equal = ["size", "one", "two"]
-        self.classes = self.signed.where("size > 0 and id is not null").groupBy(*equal).agg(F.min("id").alias("rep"))
-        self.members, _ = keep(self.signed.drop("sig").join(self.classes, equal, "left").select("id", "size", "rep"), "members")
-        first = self.members.where("id = rep").select("id").distinct()
-        self.reps, _ = keep(self.signed.where("size > 0").join(first, "id", "left_semi").dropDuplicates(["id"]), "representatives")
+        known = signed.where("size > 0 and doc is not null").groupBy(*equal)
+        classes = known.agg(F.min(F.struct("doc", "tag")).alias("m"), F.first("sig").alias("sig"))
+        numbered = classes.select(*equal, "m.doc", "m.tag", "sig", F.monotonically_increasing_id().alias("id"))
+        self.reps, _ = keep(numbered, "classes")
+        rows = signed.select("doc", *equal).join(self.reps.select(*equal, "id"), equal, "left")
+        self.members, _ = keep(rows.select("doc", "size", "id"), "members")
+        drop(self.spark, signed_path)
+
+    def shared(self) -> DataFrame:
+        """Links between the classes of documents that have the same id."""
+        met = self.members.where("id is not null and doc is not null").select("doc", "id").distinct()
+        several = met.groupBy("doc").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
+        return met.join(several, "doc").where("a <> id").select("a", F.col("id").alias("b"))
+
+    def class_texts(self, wanted: DataFrame) -> DataFrame:
+        """``(id, text)`` of the wanted classes, one row each also where rows of the input are repeated."""
+        keys = self.reps.join(wanted, "id", "left_semi").select("id", "doc", "tag")
+        return self.texts.join(keys, ["doc", "tag"]).select("id", "text").dropDuplicates(["id"])
+
+    def named(self, components: DataFrame) -> DataFrame:
+        """``(id, name)``: the smallest document of the component of every class."""
+        placed = self.reps.select("id", "doc").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        names = placed.groupBy("component").agg(F.min("doc").alias("name"))
+        return placed.join(names, "component").select("id", "name")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs with enough equal MinHash values, with their number."""
@@ -190,8 +214,9 @@ class _Forest:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs linked by their full shingle sets."""
         sides = pairs.select("a", "b")
+        texts = self.class_texts(sides.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         for side in "ab":
-            sides = sides.join(self.texts.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}")), side)
+            sides = sides.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}")), side)
         return sides.select("a", "b", "text_a", "text_b").mapInArrow(_verifier(self.width, self.percent), "a bigint, b bigint")
 
     def across(self, pairs: DataFrame, components: DataFrame) -> DataFrame:
@@ -218,9 +243,8 @@ def _dense_rest(forest: _Forest, placed: DataFrame, components: DataFrame) -> Da
     rows = placed.join(dense, region).join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed_regions = rows.groupBy(*region).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     rows, _ = keep(rows.join(mixed_regions, region, "left_semi"), "dense")
-    sets = forest.texts.join(rows.select("id").distinct(), "id", "left_semi").mapInArrow(
-        _set_writer(forest.width, LARGE_SET), "id bigint, shingles binary"
-    )
+    texts = forest.class_texts(rows.select("id").distinct())
+    sets = texts.mapInArrow(_set_writer(forest.width, LARGE_SET), "id bigint, shingles binary")
     dealt = (
         rows.withColumn("block", F.floor((F.col("idx") - F.col("first")) / REGION_BLOCK))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / REGION_BLOCK))))
@@ -259,11 +283,14 @@ def near_duplicate_texts(
     family of copies costs a few comparisons per member.
 
     A null text is empty; texts without words have no shingles and link with
-    nothing. Rows with a null id link with nothing and are kept with a null
-    component. Rows that share an id share a component. Other columns of the
+    nothing. Rows with a null id make no links and are kept; one whose shingles
+    equal those of a row with an id shows its component, all others a null one.
+    Rows that share an id are linked, whatever their texts, unless
+    a text has no words; repeated rows cost one comparison. Other columns of the
     input are ignored; an empty table gives no rows.
     """
-    rows = documents.select(F.col(row_id).cast("bigint").alias("id"), F.col(text).alias("text"))
+    rows = documents.select(F.col(row_id).cast("bigint").alias("doc"), F.col(text).alias("text"))
+    rows = rows.withColumn("tag", F.xxhash64("text"))
     forest = _Forest(rows, width, percent, seed)
     labels = forest.reps.select("id", "size", "sig").mapInPandas(_labels, "tree int, high bigint, low bigint, id bigint, size int")
     placed, placed_path = positions(labels, "tree", "high", "low", "id")
@@ -276,7 +303,7 @@ def near_duplicate_texts(
     both = likely.union(likely.select(F.col("b").alias("a"), F.col("a").alias("b"), "same"))
     best = both.groupBy("a").agg(F.max(F.struct("same", (-F.col("b")).alias("b"))).alias("m"))
     first = best.select(F.least("a", -F.col("m.b")).alias("a"), F.greatest("a", -F.col("m.b")).alias("b")).distinct()
-    links, _ = keep(forest.verified(first), "verified")
+    links, _ = keep(forest.verified(first).union(forest.shared()), "verified")
     components = connected_components(links)
     more, _ = keep(forest.verified(forest.across(likely.join(first, ["a", "b"], "left_anti"), components)), "verified")
     links = links.union(more)
@@ -287,11 +314,10 @@ def near_duplicate_texts(
         if not final.isEmpty():
             components = connected_components(links.union(final))
     drop(forest.spark, placed_path, likely_path)
-    known = components.select(F.col("id").alias("rep"), "component")
-    component = F.coalesce("component", "rep", "id")
-    return forest.members.join(known, "rep", "left").select(
-        F.col("id").alias(row_id),
+    component = F.coalesce("name", "doc")
+    return forest.members.join(forest.named(components), "id", "left").select(
+        F.col("doc").alias(row_id),
         F.col("size").cast("bigint").alias("n_shingles"),
         component.alias("component_id"),
-        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
+        F.coalesce(component == F.col("doc"), F.lit(True)).alias("kept"),
     )

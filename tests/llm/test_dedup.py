@@ -137,6 +137,19 @@ def test_near_texts_with_odd_rows(spark):
     assert near_duplicate_texts(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_link_their_texts(spark):
+    one, two = " ".join("abcdefghijklmnopqrstuvwxyz"), " ".join(map(str, range(30)))
+    rows = [(1, one), (8, one + " aa"), (8, two + " 30"), (9, two), (8, ""), (10, "all else is here"), (None, one)]
+    # Repeated rows of one text stand for one class.
+    rows += [(7, "x y z")] * 50 + [(7, "u v w")]
+    got = near_duplicate_texts(spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()
+    assert len(got) == len(rows)
+    places = {(r.doc_id, r.n_shingles): r.component_id for r in got}
+    assert places == {
+        (1, 25): 1, (8, 26): 1, (8, 30): 1, (9, 29): 1, (8, 0): 8, (10, 3): 10, (None, 25): 1, (7, 2): 7
+    }
+
+
 @pytest.mark.parametrize("largest", [8_192, 115, 0])
 def test_dense_regions_are_compared_beyond_the_window(spark, monkeypatch, largest):
     import tallyloom.llm.minhash_forest as module
