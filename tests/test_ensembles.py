@@ -218,6 +218,40 @@ def test_weights_as_a_table_reach_the_same_minimum(spark, monkeypatch, tmp_path)
     assert {tuple(r) for r in G.predictions(loaded, train, "row").collect()} == want and len(want) == 2 * len(rows)
 
 
+@pytest.mark.parametrize("cells", [10_000, 700])
+def test_ascent_in_blocks_is_proven_by_its_dual_variables(spark, monkeypatch, cells):
+    rows, train = sparse_rows(spark)
+    monkeypatch.setattr(G, "BLOCK_CELLS", cells)
+    models, duals = G.SupportVectorLearner(30, passes=60).ascend(train, two_weights(train), "row", "y", 2)
+    by_row, duals = {r[0]: r for r in rows}, duals.collect()
+    assert len(duals) == 2 * len(rows)
+    for m, model in enumerate(models):
+        w, combined, product = np.zeros(31), np.zeros(31), 0.0
+        for r in model.weights.collect():
+            w[r.place] = r.w[0]
+        for d in (d for d in duals if d.model_id == m):
+            assert abs(d.a) <= d.multiplicity == m + 1
+            _, idx, val, y = by_row[d.row]
+            if idx:
+                np.add.at(combined, idx, d.a * np.array(val))
+            combined[-1] += d.a
+            product += d.a * y
+        lower, upper = -0.5 * combined @ combined - product, objective(rows, w, m + 1)
+        assert lower <= upper <= lower / 0.99 + 1e-9
+
+
+def test_large_weights_need_few_rounds_and_take_repeated_rows(spark, monkeypatch):
+    """The descent by tables that the ascent replaced needed more than 20 passes here, and added up the cells of repeated rows."""
+    _, train = sparse_rows(spark)
+    monkeypatch.setattr(G, "WEIGHT_BYTES", 0)
+    models = G.SupportVectorLearner(30, passes=20).fit(train, two_weights(train), "row", "y", 2)
+    want = {(r.row, r.model_id): r.pred for r in G.predictions(models, train, "row").collect()}
+    got = G.predictions(models, train.union(train), "row").collect()
+    assert len(got) == 2 * len(want) and all(r.pred == pytest.approx(want[r.row, r.model_id]) for r in got)
+    alone = models[1].predict(train.union(train), "pred").collect()
+    assert all(r.pred == pytest.approx(want[r.row, 1]) for r in alone) and len(alone) == len(want)
+
+
 def test_large_gradients_are_summed_in_a_tree(spark, monkeypatch):
     _, train = sparse_rows(spark)
     draws = train.select("row", F.lit(0).alias("model_id"), F.lit(1).cast("bigint").alias("multiplicity"))
