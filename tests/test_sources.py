@@ -1,10 +1,12 @@
 import json
 
+import pyarrow as pa
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
 from tallyloom.sources import json_arrays as J
+from tallyloom.sources import mail as M
 from tallyloom.sources import tables as S
 from tallyloom.sources.mail import decode_messages, ingest, read_label_index, read_messages, write_messages
 
@@ -139,3 +141,19 @@ def test_metrics_are_appended(spark, tmp_path):
     S.append_metrics(spark, path, "one", {"mae": 1.0})
     S.append_metrics(spark, path, "two", {"mae": 2.0, "rmse": 3.0})
     assert {tuple(r) for r in spark.read.parquet(path).collect()} == {("one", "mae", 1.0), ("two", "mae", 2.0), ("two", "rmse", 3.0)}
+
+
+def test_long_batches_are_decoded_in_pieces(monkeypatch):
+    monkeypatch.setattr(M, "DECODED_ROWS", 4)
+    batch = pa.record_batch([pa.array([str(i) for i in range(10)]), pa.array([PLAIN] * 9 + [None], pa.binary())], ["path", "content"])
+    pieces = list(M._decode(iter([batch])))
+    assert [p.num_rows for p in pieces] == [4, 4, 2]
+    rows = pa.Table.from_batches(pieces).to_pylist()
+    assert [r["path"] for r in rows] == [str(i) for i in range(10)]
+    assert {r["sender"] for r in rows[:9]} == {"A <a@x.example>"} and rows[9]["sender"] is None
+
+
+def test_many_folders_are_listed_in_few_tasks(spark):
+    packed = M.packing_session(spark)
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    assert int(packed.conf.get(name)) == 4 * spark.sparkContext.defaultParallelism < int(spark.conf.get(name))
