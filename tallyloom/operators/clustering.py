@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +29,21 @@ def matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def nearest(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the nearest center, the lowest on ties, and the squared distance."""
-    gaps = np.stack([((points - c) ** 2).sum(axis=1) for c in centers], axis=1).round(DIGITS)
-    best = gaps.argmin(axis=1)
-    return best, gaps[np.arange(len(points)), best]
+    """Index of the nearest center, the lowest on ties, and the squared distance.
+
+    One product of matrices tells most points apart; those whose two nearest centers
+    are closer than it can tell get all their distances as sums of squares.
+    """
+    best = np.zeros(len(points), np.int64)
+    if len(centers) > 1 and len(points):
+        norms, sizes = (centers * centers).sum(axis=1), (points * points).sum(axis=1)
+        rough = norms - 2 * (points @ centers.T)
+        best = rough.argmin(axis=1)
+        two = np.partition(rough, 1, axis=1)
+        close = np.flatnonzero(~(two[:, 1] - two[:, 0] > 1e-9 * (sizes + norms.max()) + 10.0 ** (1 - DIGITS)))
+        if len(close):
+            best[close] = np.stack([((points[close] - c) ** 2).sum(axis=1) for c in centers], axis=1).round(DIGITS).argmin(axis=1)
+    return best, ((points - centers[best]) ** 2).sum(axis=1).round(DIGITS)
 
 
 def assign(vector: str, centers: np.ndarray) -> Column:
@@ -90,53 +102,64 @@ class Run:
     done: bool = False
 
 
-def _partial_sums(vector: str, runs: Sequence[tuple[int, np.ndarray, np.ndarray | None]]):
-    """Per task and run: size, changes, cost and vector sum of every cluster met."""
+def _points(column: pa.Array) -> np.ndarray:
+    """Vectors of a batch; none of them may be missing."""
+    if column.null_count:
+        raise ValueError("a vector is missing")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
 
-    def task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _partial_sums(runs: Sequence[tuple[int, np.ndarray, np.ndarray | None]]):
+    """Per task and run: size, changes, cost and vector sum of every cluster met, one after the other."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies = {run: np.zeros((len(c), 3 + c.shape[1])) for run, c, _ in runs}
-        for frame in frames:
-            if frame.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            points = matrix(frame[vector])
+            points = _points(batch.column(0))
+            facts = np.column_stack([np.ones(len(points)), np.zeros((len(points), 2)), points])
             for run, centers, previous in runs:
-                best, gap = nearest(points, centers)
-                moved = best != nearest(points, previous)[0] if previous is not None else np.ones(len(best))
-                facts = np.column_stack([np.ones(len(best)), moved, gap, points])
-                for c in np.unique(best):
-                    tallies[run][c] += facts[best == c].sum(axis=0)
+                best, facts[:, 2] = nearest(points, centers)
+                facts[:, 1] = best != nearest(points, previous)[0] if previous is not None else 1
+                order = np.argsort(best, kind="stable")
+                met, first = np.unique(best[order], return_index=True)
+                tallies[run][met] += np.add.reduceat(facts[order], first, axis=0)
         for run, tally in tallies.items():
             met = np.flatnonzero(tally[:, 0])
             if len(met):
-                yield pd.DataFrame(
-                    {
-                        "run": run,
-                        "c": met,
-                        "n": tally[met, 0].astype(np.int64),
-                        "moved": tally[met, 1].astype(np.int64),
-                        "cost": tally[met, 2],
-                        "sums": list(tally[met, 3:]),
-                    }
-                )
+                columns = [pa.array(np.full(len(met), run), pa.int32()), pa.array(met, pa.int32()), pa.array(list(tally[met]))]
+                yield pa.record_batch(columns, ["run", "c", "facts"])
 
     return task
 
 
-PARTIAL = "run int, c int, n bigint, moved bigint, cost double, sums array<double>"
+PARTIAL = "run int, c int, facts array<double>"
+
+
+# Tasks whose partial sums a pass sends to the driver as they are; those of more tasks are summed before.
+DIRECT_TASKS = 256
+
+
+def partial_sums(df: DataFrame, vector: str, runs: Sequence[tuple[int, np.ndarray, np.ndarray | None]]) -> DataFrame:
+    """``(run, c, facts)`` of every task: size, changes, cost and vector sum in one array."""
+    return df.select(vector).mapInArrow(_partial_sums(runs), PARTIAL)
 
 
 def cluster_sums(df: DataFrame, vector: str, runs: Sequence[tuple[int, np.ndarray, np.ndarray | None]]) -> DataFrame:
     """``(run, c, n, moved, cost, sums)``: size, changes, cost and vector sum of every cluster."""
-    parts = df.select(vector).mapInPandas(_partial_sums(vector, runs), PARTIAL)
-    counts = parts.groupBy("run", "c").agg(F.sum("n").alias("n"), F.sum("moved").alias("moved"), F.sum("cost").alias("cost"))
-    sums = (
-        parts.select("run", "c", F.posexplode("sums").alias("pos", "v"))
+    facts = (
+        partial_sums(df, vector, runs).select("run", "c", F.posexplode("facts").alias("pos", "v"))
         .groupBy("run", "c", "pos")
         .agg(F.sum("v").alias("v"))
         .groupBy("run", "c")
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("sums"))
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("facts"))
+    )
+    n, moved, cost = (F.get("facts", F.lit(i)) for i in range(3))
+    return facts.select(
+        "run", "c", n.cast("bigint").alias("n"), moved.cast("bigint").alias("moved"), cost.alias("cost"),
+        F.slice("facts", F.lit(4), F.size("facts") - 3).alias("sums"),
     )
-    return counts.join(sums, ["run", "c"])
 
 
 def lloyd(df: DataFrame, vector: str, starts: Sequence[np.ndarray], max_step: int) -> list[Run]:
@@ -148,18 +171,25 @@ def lloyd(df: DataFrame, vector: str, starts: Sequence[np.ndarray], max_step: in
     all its vectors keeps its center.
     """
     runs = [Run(np.array(s, dtype=np.float64)) for s in starts]
+    direct = df.rdd.getNumPartitions() <= DIRECT_TASKS
     for step in range(max_step):
         active = [(i, r.centers, r.used) for i, r in enumerate(runs) if not r.done]
         if not active:
             break
-        rows = cluster_sums(df, vector, active).collect()
+        told = {i: np.zeros((len(c), 3 + c.shape[1])) for i, c, _ in active}
+        if direct:
+            for r in partial_sums(df, vector, active).collect():
+                told[r.run][r.c] += r.facts
+        else:
+            for r in cluster_sums(df, vector, active).collect():
+                told[r.run][r.c] = [r.n, r.moved, r.cost, *r.sums]
         for i, centers, _ in active:
-            run, mine = runs[i], [r for r in rows if r["run"] == i]
+            run, mine = runs[i], told[i]
             run.used, run.centers = centers, centers.copy()
-            run.cost, run.steps = sum(r["cost"] for r in mine), step + 1
-            for r in mine:
-                run.centers[r["c"]] = np.array(r["sums"]) / r["n"]
-            run.done = sum(r["moved"] for r in mine) == 0
+            run.cost, run.steps = float(mine[:, 2].sum()), step + 1
+            met = mine[:, 0] > 0
+            run.centers[met] = mine[met, 3:] / mine[met, :1]
+            run.done = not mine[:, 1].any()
     return runs
 
 

@@ -117,3 +117,18 @@ def test_axes_equal_a_decomposition_of_all_vectors(spark):
     assert all(r.x == pytest.approx((points[r.row] - mean) @ axes[0]) for r in got if r.row < 200)
     assert [r.x for r in got if r.row == 200] == [None]
     assert P.moments(df.where("row = 200"), "v")[0] == 0
+
+
+def test_nearest_is_one_product_and_exact_in_close_cases(monkeypatch):
+    rng = np.random.default_rng(5)
+    points, centers = rng.normal(size=(400, 8)), rng.normal(size=(12, 8))
+    centers[7] = centers[3]
+    points[:50] = (centers[1] + centers[2]) / 2 + 1e-11 * rng.normal(size=(50, 8))
+    points[50] = centers[3]
+    gaps = np.stack([((points - c) ** 2).sum(axis=1) for c in centers], axis=1).round(C.DIGITS)
+    compared = []
+    monkeypatch.setattr(C.np, "stack", lambda rows, axis: compared.append(len(rows[0])) or np.array(rows).T)
+    best, gap = C.nearest(points, centers)
+    assert list(best) == list(gaps.argmin(axis=1)) and list(gap) == list(gaps.min(axis=1))
+    # The points beside two equal centers, or between two, are compared in full, no others.
+    assert sum(compared) < 150
