@@ -401,3 +401,16 @@ def test_rating_class_of_text(spark):
     df = spark.createDataFrame([("5.0",), ("1",), (None,)], "o string")
     assert [r[0] for r in df.select(T.rating_class(F.col("o"))).collect()] == [4, 0, None]
 
+
+
+def test_trees_write_their_rows_once_and_take_odd_rows(spark, monkeypatch):
+    """Rows were written again for every level. A row without a label counts in its node and adds nothing to the sum."""
+    written = []
+    monkeypatch.setattr(G, "materialize", lambda df, name: written.append(name) or df.localCheckpoint())
+    rows = [(i, [0, 1], [1.0, 0.5 + i / 100], float(i % 3)) for i in range(12)] + [(3, [1], [0.2], None), (4, None, None, 2.0)]
+    train = spark.createDataFrame(rows, "row long, idx array<int>, val array<double>, y double")
+    draws = spark.createDataFrame([(i, 0, 1) for i in range(12)] + [(4, 0, 1)], "row long, model_id int, multiplicity long")
+    (model,) = G.TreeLearner(2).fit(train, draws, "row", "y", 1)
+    assert written == ["tree-rows"]
+    # Rows 3 and 4 come twice, and row 4 is drawn twice: 16 draws, the one without a label among them.
+    assert model.value[0] == (sum(i % 3 for i in range(12)) + 1 + 2 * 2) / 16 and model.depth == 2
