@@ -5,6 +5,8 @@ Column expressions and joins only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,25 +55,27 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
     return rows.select("source", "ordinal", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
-def permuted(index: Column, count: Column, *keys: Column, rounds: int = 3) -> Column:
+def permuted(index: Column, count: Column, *keys: Column, rounds: int = 3, bind: Callable[[Column], Column] = lambda step: step) -> Column:
     """Pseudorandom permutation of ``0 .. count - 1``, another one for other ``keys``.
 
     Each round scrambles the numbers below the largest power of two by
     reversible steps, leaves the others, and turns the whole circle; all of
-    these are one-to-one, so no number is tried twice.
+    these are one-to-one, so no number is tried twice. ``bind`` gets every step that
+    later ones read more than once and may return a column that holds it.
     """
-    bits = F.length(F.bin(count)) - 1
-    low = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1
-    half = F.greatest(F.ceil(bits / 2).cast("int"), F.lit(1))
+    bits = bind(F.length(F.bin(count)) - 1)
+    low = bind(F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1)
+    half = bind(F.greatest(F.ceil(bits / 2).cast("int"), F.lit(1)))
+    index = bind(index)
     for turn in range(rounds):
-        drawn = F.xxhash64(F.lit(turn), *keys)
+        drawn = bind(F.xxhash64(F.lit(turn), *keys))
         # Factors of 21 bits, so that products of numbers below 2**42 stay within 64.
         odd, other = (drawn.bitwiseAND(0xFFFFF) * 2 + 1), F.shiftright(drawn, 20).bitwiseAND(0xFFFFF) * 2 + 1
-        scrambled = (index * odd).bitwiseAND(low)
+        scrambled = bind((index * odd).bitwiseAND(low))
         scrambled = scrambled.bitwiseXOR(F.call_function("shiftright", scrambled, half))
         scrambled = (scrambled * other).bitwiseAND(low)
         index = F.when(index <= low, scrambled).otherwise(index)
-        index = (index + F.pmod(F.shiftright(drawn, 3), count)) % count
+        index = bind((index + F.pmod(F.shiftright(drawn, 3), count)) % count)
     return index
 
 
@@ -110,13 +114,21 @@ def drawn_slots(plan: DataFrame, total: int, seed: int) -> DataFrame:
     )
     found = line.withColumn("cell", F.floor(F.col("slot") * CELLS / whole)).join(held, "cell")
     found = found.where((F.col("slot") >= F.col("first_slot")) & (F.col("slot") < F.col("end")))
+
+    def bind(step: Column) -> Column:
+        # The optimizer keeps a column apart that is read more than once, so the plan grows with the steps and not with their product.
+        nonlocal found
+        name = f"_{len(found.columns)}"
+        found = found.withColumn(name, step)
+        return F.col(name)
+
     own = F.col("slot") - F.col("first_slot")
-    epoch = F.floor(own / F.col("blocks"))
-    place = permuted(F.col("slot"), whole, F.lit(seed))
-    found = found.withColumn("epoch", epoch).withColumn("place", place)
-    block = permuted(own % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("ordinal"), F.col("epoch"))
+    found = found.withColumn("epoch", F.floor(own / F.col("blocks")))
+    block = permuted(own % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("ordinal"), F.col("epoch"), bind=bind)
+    place = permuted(F.col("slot"), whole, F.lit(seed), bind=bind)
+    # A block is never null; told so, the join by it adds no test that repeats all its steps.
     return found.select(
-        F.floor(F.col("place") / SHARD_SLOTS).alias("shard"), (F.col("place") % SHARD_SLOTS).alias("place"), "ordinal", block.alias("block"), "epoch"
+        F.floor(place / SHARD_SLOTS).alias("shard"), (place % SHARD_SLOTS).alias("place"), "ordinal", F.coalesce(block, F.lit(0)).alias("block"), "epoch"
     )
 
 

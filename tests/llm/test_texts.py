@@ -252,6 +252,22 @@ def test_taken_words_equal_a_walk_over_all_slots(spark, monkeypatch):
     assert len(counts[0]) > 2
 
 
+def test_slots_do_not_repeat_the_steps_of_their_permutation(spark):
+    df = spark.createDataFrame([(i, "abc"[i % 3], 100 + 37 * i) for i in range(40)], "row long, source string, size long")
+    pieces, plan = source_mix.mixed_pieces(df, source_mix.WEIGHTS, 13)
+    planned = pieces.select("row", "first", "last", "epoch")._jdf.queryExecution().optimizedPlan().toString()
+    assert planned.count("xxhash64") <= 3 and planned.count("CASE WHEN") <= 3
+    total = sum(r.quota for r in plan.collect())
+    slots = source_mix.drawn_slots(plan, total, 13)
+    own = F.col("slot") - F.col("first_slot")
+    told = spark.range(total).withColumnRenamed("id", "slot").join(plan, (F.col("slot") >= F.col("first_slot")) & (own < F.col("quota")))
+    told = told.withColumn("epoch", F.floor(own / F.col("blocks")))
+    block = permuted(own % F.col("blocks"), F.col("blocks"), F.lit(13), F.col("ordinal"), F.col("epoch"))
+    place = permuted(F.col("slot"), F.lit(total).cast("bigint"), F.lit(13))
+    told = told.select(F.floor(place / 4_096), place % 4_096, "ordinal", block, "epoch")
+    assert sorted(map(tuple, slots.collect())) == sorted(map(tuple, told.collect()))
+
+
 def test_tied_neighbours_all_vote():
     space = quality_votes.Space(np.ones(quality_votes.TERMS, np.float32), np.eye(quality_votes.TERMS, 2, dtype=np.float32))
     vectors = np.repeat(np.array([[1.0, 0.0]], np.float32), 60, axis=0)
