@@ -12,6 +12,7 @@ from tallyloom.operators import regressors as G
 from tallyloom.operators import sequences as Q
 from tallyloom.operators import tfidf
 from tallyloom.operators.naive_bayes import counted, occurrences
+from tallyloom.session import materialize
 from tallyloom.sources import tables as S
 
 TEXTS = ["the cat sat", "the dog sat sat", "a cat and the dog", "", "birds fly over the house"]
@@ -252,6 +253,41 @@ def test_large_weights_need_few_rounds_and_take_repeated_rows(spark, monkeypatch
     assert all(r.pred == pytest.approx(want[r.row, 1]) for r in alone) and len(alone) == len(want)
 
 
+@pytest.mark.parametrize("cells", [10_000, 300])
+def test_an_ascent_is_one_job_without_tables_of_rounds(spark, monkeypatch, cells):
+    """Each round of the ascent wrote the weights of all models and read all rows again."""
+    rows, train = sparse_rows(spark)
+    written = []
+    monkeypatch.setattr(G, "BLOCK_CELLS", cells)
+    monkeypatch.setattr(G, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    models, duals = G.SupportVectorLearner(30).ascend(train, two_weights(train), "row", "y", 2)
+    assert written == ["svr-models"] and duals.count() == 2 * len(rows)
+    assert all(sorted(r.place for r in m.weights.collect()) == list(range(-1, 30)) for m in models)
+
+
+def test_ascent_takes_a_missing_label_repeated_ids_and_text_ids(spark):
+    rows, _ = sparse_rows(spark)
+    named = [(f"r{i % 150}", idx, val, None if i == 7 else y) for i, idx, val, y in rows]
+    train = spark.createDataFrame(named, "row string, idx array<int>, val array<double>, y double")
+    draws = spark.createDataFrame([(f"r{i}", m, 1 + i % 2) for i in range(150) for m in (0, 1) if m or i != 7], "row string, model_id int, multiplicity bigint")
+    (first, second), duals = G.SupportVectorLearner(30).ascend(train, draws, "row", "y", 2)
+    mean = np.mean([y for *_, y in named if y is not None])
+    assert {r.place: r.w[0] for r in second.weights.collect()} == {p: pytest.approx(mean) if p < 0 else 0.0 for p in range(-1, 30)}
+    assert any(r.w[0] for r in first.weights.collect())
+    told = duals.collect()
+    assert len(told) == 2 * len(rows) - 2 and all(d.multiplicity == 1 + int(d.row[1:]) % 2 for d in told)
+    assert sum(d.a is None for d in told) == 1 and all(not d.a for d in told if d.model_id == 1)
+
+
+def test_best_constant_is_the_minimum():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 7, 40):
+        gaps, cap = rng.normal(3, 2, n).round(1), rng.integers(1, 4, n).astype(float)
+        error = lambda b: b * b / 2 + cap @ np.abs(b - gaps)
+        best = G._best_constant(gaps, cap)
+        assert all(error(best) <= error(b) + 1e-9 for b in np.append(np.linspace(-9, 9, 999), gaps))
+
+
 def test_large_gradients_are_summed_in_a_tree(spark, monkeypatch):
     _, train = sparse_rows(spark)
     draws = train.select("row", F.lit(0).alias("model_id"), F.lit(1).cast("bigint").alias("multiplicity"))
