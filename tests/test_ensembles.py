@@ -279,6 +279,21 @@ def test_ascent_takes_a_missing_label_repeated_ids_and_text_ids(spark):
     assert sum(d.a is None for d in told) == 1 and all(not d.a for d in told if d.model_id == 1)
 
 
+def test_sent_weights_predict_as_the_join_does_without_moving_cells(spark, monkeypatch):
+    rows, train = sparse_rows(spark)
+    known = [(-1, [3.0]), (4, [0.5]), (7, [None]), (20, [-2.0])]
+    models = [G.TableModel(spark.createDataFrame(known[i:], "place bigint, w array<double>"), "row") for i in (0, 1)]
+    train = train.union(spark.createDataFrame([(None, [4, 29], [2.0, 1.0], 1.0)], train.schema))
+    sent = G.predictions(models, train, "row")
+    assert "Generate" in sent._jdf.queryExecution().toString() and "Join" not in sent._jdf.queryExecution().toString()
+    got = {(r.row, r.model_id): r.pred for r in sent.collect()}
+    alone = {r.row: r.pred for r in models[1].predict(train, "pred").collect()}
+    monkeypatch.setattr(G, "SENT_BYTES", 0)
+    want = {(r.row, r.model_id): r.pred for r in G.predictions(models, train, "row").collect()}
+    assert got == {k: pytest.approx(v) for k, v in want.items()} and len(got) == 2 * len(rows) + 2
+    assert got[None, 0] == pytest.approx(4.0) and alone == {k: pytest.approx(want[k, 1]) for k in alone}
+
+
 def test_best_constant_is_the_minimum():
     rng = np.random.default_rng(4)
     for n in (1, 2, 7, 40):
